@@ -71,6 +71,22 @@ INDEX = pa.schema([
 INDEX_DDL = "segment long, doc_id array<long>, start array<long>, n_words array<long>, term array<int>, term_start array<long>, position array<int>"
 
 
+def postings(ids: list, texts: list[str | None], vocab: dict[bytes, int]) -> tuple:
+    """One segment: (doc ids, starts, word counts, terms, list starts, positions)."""
+    starts, lengths, found, at = [], [], [], 0
+    for text in texts:
+        own = words(text)
+        starts.append(at)
+        lengths.append(len(own))
+        found += [np.fromiter((vocab.get(w, -1) for w in own), np.int32, len(own)), np.full(GAP, -1, np.int32)]
+        at += len(own) + GAP
+    stream = np.concatenate(found)
+    known = np.flatnonzero(stream >= 0).astype(np.int32)
+    order = known[np.argsort(stream[known], kind="stable")]
+    term, first = np.unique(stream[order], return_index=True)
+    return ids, np.array(starts, np.int64), np.array(lengths, np.int64), term.astype(np.int32), np.append(first, len(order)), order
+
+
 def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
     """The stored index of ``docs`` over the terms of ``phrases``: one row per segment.
 
@@ -81,22 +97,9 @@ def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(phrases.vocab)
 
     def run(batches):
-        find, number = sent.value.get, TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for part in slices(batches):
-            ids, starts, lengths, found, at = column(part, "doc_id"), [], [], [], 0
-            for text in column(part, "text"):
-                own = words(text)
-                terms = np.fromiter((find(w, -1) for w in own), np.int32, len(own))
-                starts.append(at)
-                lengths.append(len(own))
-                found += [terms, np.full(GAP, -1, np.int32)]
-                at += len(own) + GAP
-            stream = np.concatenate(found)
-            known = np.flatnonzero(stream >= 0).astype(np.int32)
-            order = known[np.argsort(stream[known], kind="stable")]
-            term, first = np.unique(stream[order], return_index=True)
-            row = [[number], [ids], [starts], [lengths], [term], [np.append(first, len(order))], [order]]
-            yield batch_of(INDEX, *row)
+            yield batch_of(INDEX, [number], *([x] for x in postings(column(part, "doc_id"), column(part, "text"), sent.value)))
             number += 1
 
     return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX_DDL), "postings")
@@ -105,12 +108,15 @@ def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
 class Segment:
     """One segment's posting lists, and searches over them."""
 
-    def __init__(self, batch: pa.RecordBatch, i: int):
-        of = lambda name: batch.column(batch.schema.get_field_index(name))[i].values
-        self.doc_id = of("doc_id").to_pylist()
-        self.start, self.n_words, self.term, self.term_start, self.position = (of(k).to_numpy(zero_copy_only=False) for k in ("start", "n_words", "term", "term_start", "position"))
+    def __init__(self, doc_id: list, start: np.ndarray, n_words: np.ndarray, term: np.ndarray, term_start: np.ndarray, position: np.ndarray):
+        self.doc_id, self.start, self.n_words, self.term, self.term_start, self.position = doc_id, start, n_words, term, term_start, position
         self.size = int(self.start[-1] + self.n_words[-1] + GAP) if len(self.start) else 0
 
+    @classmethod
+    def stored(cls, batch: pa.RecordBatch, i: int) -> Segment:
+        of = lambda name: batch.column(batch.schema.get_field_index(name))[i].values
+        return cls(of("doc_id").to_pylist(), *(of(k).to_numpy(zero_copy_only=False) for k in ("start", "n_words", "term", "term_start", "position")))
+
     def counts(self, n_terms: int) -> np.ndarray:
         """Posting-list lengths by term."""
         out = np.zeros(n_terms + 1, np.int64)  # the last: no term
@@ -200,7 +206,7 @@ def searched(index: DataFrame, phrases: Phrases) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):  # a row is a whole segment
-                yield batch_of(HIT, *_judged(Segment(batch, i), sent.value))
+                yield batch_of(HIT, *_judged(Segment.stored(batch, i), sent.value))
 
     return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>")
 
@@ -247,7 +253,7 @@ def _in_blocks(docs: DataFrame, parts: list[DataFrame], width: int) -> DataFrame
         def run(batches, sent=sent):
             for batch in batches:
                 for i in range(batch.num_rows):
-                    segment, block = Segment(batch, i), sent.value
+                    segment, block = Segment.stored(batch, i), sent.value
                     window, pos = segment.search(block)
                     doc = segment.doc_at(pos)
                     rows = sorted({(segment.doc_id[d], int(p - segment.start[d]), int(block.length[w]), block.items[k]) for d, p, w in zip(doc, pos, window, strict=True) for k in block.item_of[block.item_at[w] : block.item_at[w + 1]]})
@@ -266,6 +272,27 @@ def _in_blocks(docs: DataFrame, parts: list[DataFrame], width: int) -> DataFrame
     )
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ratio: int = RATIO, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows whose documents are not contaminated, with all their columns.
+
+    Each task indexes and searches the rows it reads, so the verdict takes
+    effect in place.  Only with test sets above ``block_bytes`` are verdicts
+    joined back, and there a row with a null doc_id stays.
+    """
+    parts = blocks(benchmark, block_bytes)
+    if len(parts) > 1:
+        bad = decontaminate(docs, benchmark, width, ratio, block_bytes).where("contaminated").select("doc_id").distinct()
+        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    sent = docs.sparkSession.sparkContext.broadcast(Phrases(items_of(benchmark), width))
+
+    def run(batches):
+        for part in slices(batches):
+            _, n_words, n_hit, *_ = _judged(Segment(*postings([None] * part.num_rows, column(part, "text"), sent.value.vocab)), sent.value)
+            yield part.filter(pa.array([not (h and ratio * h >= n) for n, h in zip(n_words, n_hit, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
