@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
+#: A group with more than one in so many of all rows is joined by broadcast: there are at most so many.
+SPREAD = 1000
 #: Shards, rounds of propagation, priority buckets of a size class, rows that a ranking bucket has about.
 SHARDS, ROUNDS, BUCKETS, RANKED = 40, 6, 256, 4000
 
@@ -48,8 +50,21 @@ def _accepted(proposals: DataFrame, room: list[int], turn: int) -> DataFrame:
     return marked.join(F.broadcast(fits), ["target", "bucket"], "left_semi").select("gid", "chunk", "n", "target")  # at most shards x 64 x BUCKETS rows
 
 
+def _joined(rows: DataFrame, side: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` left-joined with ``side``, whose rows each match ``size`` of ``rows``.
+
+    Those that match more than one row in SPREAD are at most SPREAD and are
+    broadcast, so no task gets the rows of a large group; the others are joined
+    by a shuffle.
+    """
+    large = F.broadcast(side.where(F.col(size) * SPREAD > total))
+    hot = rows.join(large, keys)
+    cold = rows.join(large.select(*keys), keys, "left_anti").join(side.where(F.col(size) * SPREAD <= total), keys, "left")
+    return hot.unionByName(cold)
+
+
 def propagate(members: DataFrame, capacity: int, shards: int, rounds: int) -> DataFrame | None:
-    """(gid, chunk, target) of the nodes that are together in one shard; None without nodes.
+    """(gid, chunk, n, target) of the nodes that are together in one shard; None without nodes.
 
     ``members``: (gid, chunk, shard, n), the rows of a node in each shard.
     """
@@ -70,7 +85,7 @@ def propagate(members: DataFrame, capacity: int, shards: int, rounds: int) -> Da
         state = written(state.join(won.select("gid", "chunk"), ["gid", "chunk"], "left_anti"), "members")
         if state.isEmpty():
             break
-    return None if settled is None else settled.select("gid", "chunk", "target")
+    return None if settled is None else settled.select("gid", "chunk", "n", "target")
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, ranked: int = RANKED) -> DataFrame:
@@ -92,12 +107,13 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     capacity = -(-total // shards)
     groups = rows.groupBy("gid").agg(F.count("*").alias("members")).where("members > 1")
     parts = F.when(F.col("members") > capacity, F.ceil(2 * F.col("members") / F.lit(max(1, capacity)))).otherwise(1).cast("long")
-    tagged = rows.join(groups.select("gid", parts.alias("parts")), "gid", "left").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
-    tagged = written(tagged.drop("parts"), "tagged")
+    groups = written(groups.withColumn("parts", parts), "groups")
+    tagged = _joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
+    tagged = written(tagged.drop("parts", "members"), "tagged")
     linked = tagged.where("chunk is not null")
     placed = propagate(linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n")), capacity, shards, rounds)
     if placed is not None:
-        tagged = tagged.join(placed, ["gid", "chunk"], "left").withColumn("home", F.coalesce("target", "home"))
+        tagged = _joined(tagged, placed, ["gid", "chunk"], "n", total).withColumn("home", F.coalesce("target", "home"))
     tagged = tagged.select("doc_id", "size", "text_crc32", "home", F.when(F.col("chunk").isNull(), 1).otherwise(0).alias("loose"))
 
     # Ranks within a shard, linked rows first: counts of hashed buckets, their running sums, then ranks inside a bucket.
