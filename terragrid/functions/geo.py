@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -143,8 +144,6 @@ class Projection:
 
 def geodesic_distance():
     """WGS84 geodesic length in metres of (lon1, lat1, lon2, lat2), Vincenty's inverse in Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def distance(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
         return pd.Series(vincenty(*(np.asarray(v, float) for v in (lon1, lat1, lon2, lat2))))

@@ -105,7 +105,7 @@ def planar_radius(pixels: DataFrame, grid: Grid, max_radius_m: float) -> DataFra
     xmin, _, _, ymax = grid.extent
     dx, dy = abs(grid.dx), abs(grid.dy)
     x, y = grid.projection.forward(F.col("lon"), F.col("lat"))
-    around = lambda d: F.explode(F.sequence(F.lit(-math.ceil(max_radius_m / d)), F.lit(math.ceil(max_radius_m / d)))).cast("long")
+    around = lambda d: F.explode(F.sequence(F.lit(-math.ceil(max_radius_m / d)).cast("long"), F.lit(math.ceil(max_radius_m / d)).cast("long")))
     p = pixels.withColumns({"_x": x, "_y": y}).withColumns({"_c": F.floor((F.col("_x") - xmin) / dx).cast("long"), "_r": F.floor((ymax - F.col("_y")) / dy).cast("long")})
     reach_x, reach_y = math.ceil(max_radius_m / dx), math.ceil(max_radius_m / dy)
     p = p.where((F.col("_c") >= -reach_x) & (F.col("_c") < grid.nx + reach_x) & (F.col("_r") >= -reach_y) & (F.col("_r") < grid.ny + reach_y))
