@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..shipping import ensure_shipped
 
 #: Text bytes a Python worker handles at once; a longer text forms a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Rows in one slice at most.
 SLICE_ROWS = 4096
 

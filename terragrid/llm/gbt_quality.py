@@ -75,7 +75,7 @@ class Forest:
         for _ in range(int(np.log2(self.leaf.shape[1])) if len(self.leaf) else 0):
             right = x[rows, self.feature[trees, node]] > self.threshold[trees, node]
             node = 2 * node + 1 + right
-        total = self.base + (self.leaf[trees, node - (self.leaf.shape[1] - 1)].sum(1) if len(self.leaf) else 0)
+        total = np.full(len(x), self.base) + (self.leaf[trees, node - (self.leaf.shape[1] - 1)].sum(1) if len(self.leaf) else 0)
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
