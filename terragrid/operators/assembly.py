@@ -57,7 +57,8 @@ def valley_pairs(columns: list[str]) -> list[tuple[str, str]]:
 
 def fill_gaps(df: DataFrame, first: dict[str, float] | None = None) -> DataFrame:
     """Nulls and NaN filled: named columns first, then zero."""
-    return df.fillna(first or {"SSO_ANIS": 1.0}).fillna(0.0)
+    own = {c: v for c, v in (first or {"SSO_ANIS": 1.0}).items() if c in df.columns}
+    return (df.fillna(own) if own else df).fillna(0.0)
 
 
 def prefixed(df: DataFrame, variable: str, keys: list[str]) -> DataFrame:
