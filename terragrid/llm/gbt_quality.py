@@ -81,7 +81,7 @@ class Forest:
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, bins: int = BINS, leaf: int = LEAF, ridge: float = RIDGE) -> Forest:
     """A forest for labels ``y`` (0 or 1) by logistic loss.  Without rows, or of one label, it scores the prior."""
-    x, y = np.asarray(x, np.float64).reshape(len(y), -1), np.asarray(y, np.float64)
+    x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
     prior = (y.sum() + 1) / (len(y) + 2)
     base = float(np.log(prior / (1 - prior)))
     inner, leaves = 2**depth - 1, 2**depth
