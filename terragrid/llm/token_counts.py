@@ -3,6 +3,11 @@
 Tier one is a compact table of frequent pre-tokens and their token counts,
 broadcast once; tier two is each worker's cache over the encoder.  No
 pre-token is ever shuffled: a document's count is made where it is read.
+
+Which pre-tokens are frequent is found over all documents.  Each task keeps a
+Misra-Gries summary of fixed size; summaries merge into one of the same size, a
+few at a time.  Every pre-token with more than one in ``entries`` of all
+occurrences is sure to be in it.
 """
 
 from __future__ import annotations
@@ -11,14 +16,15 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import batch_of, column, per_text, table
+from .common import batch_of, column, per_text, rows_below, slices, table, written
 
-#: Documents read to find frequent pre-tokens, entries of the broadcast table, and its bytes at most.
-SAMPLE_DOCS, TABLE_ENTRIES, TABLE_BYTES = 2000, 32_768, 4 << 20
+#: Entries of a summary and of the broadcast table, its bytes at most, summaries merged at once.
+TABLE_ENTRIES, TABLE_BYTES, FAN_IN = 32_768, 4 << 20, 16
 
 
 class FrequentTable:
@@ -40,31 +46,60 @@ class FrequentTable:
         return {self.blob[a:b].decode(): int(n) for a, b, n in zip(starts, self.ends, self.lengths, strict=True)}
 
 
-def frequent_table(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, entries: int = TABLE_ENTRIES) -> FrequentTable:
-    """The frequent tier, from a bounded sample of documents (those with the smallest hashes of their ids).
+def summary(counts: dict[str, int], entries: int) -> dict[str, int]:
+    """``counts`` cut to ``entries`` by Misra-Gries: all lose the count of the first that has no room."""
+    if len(counts) <= entries:
+        return counts
+    cut = sorted(counts.values(), reverse=True)[entries]
+    return {k: n - cut for k, n in counts.items() if n > cut}
+
+
+SUMMARY = pa.schema([("part", pa.int64()), ("piece", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+SUMMARY_DDL = "part long, piece array<string>, n array<long>"
+
+
+def _merged(pieces: list[list[str]], counts: list[list[int]], entries: int) -> dict[str, int]:
+    seen: Counter = Counter()
+    for piece, n in zip(pieces, counts, strict=True):
+        seen.update(dict(zip(piece, n, strict=True)))
+    return summary(seen, entries)
+
+
+def frequent_table(docs: DataFrame, path: str, entries: int = TABLE_ENTRIES, fan_in: int = FAN_IN) -> FrequentTable:
+    """The frequent tier, from all documents.
 
-    The sample only decides what is looked up in which tier; counts never depend on it.
+    It only decides what is looked up in which tier; counts never depend on it.
+    Pre-tokens too long for the cache are left to the second tier.
     """
-    ids = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("text")
 
-    def make():
-        def step(batch):
-            seen = Counter()
+    def row(part: int, counts: dict[str, int]) -> pa.Table:
+        return pa.Table.from_pylist([{"part": part, "piece": list(counts), "n": list(counts.values())}], schema=SUMMARY)
+
+    def counted(batches):
+        seen: Counter = Counter()
+        for batch in slices(batches):
+            own: Counter = Counter()
             for text in column(batch, "text"):
                 for part, special in bpe.parts(text or "", path):
                     if special is None:
                         for run in bpe.pretokens(part):
-                            seen.update(run)
-            top = [(k, v) for k, v in seen.most_common(entries) if len(k) <= bpe.CACHE_CHARS and v > 1]
-            yield pa.RecordBatch.from_pydict({"piece": [k for k, _ in top], "n": pa.array([v for _, v in top], pa.int64())})
-
-        return step
-
-    found = per_text(texts, make, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(entries).collect()
-    pieces = [r.piece for r in found]
+                            own.update(run)
+            seen.update({k: n for k, n in own.items() if len(k) <= bpe.CACHE_CHARS})
+            if len(seen) > 4 * entries:
+                seen = Counter(summary(seen, entries))
+        if seen:
+            yield from row(TaskContext.get().partitionId(), summary(seen, entries)).to_batches()
+
+    def joined(group: pa.Table) -> pa.Table:
+        return row(group.column("part")[0].as_py() // fan_in, _merged(group.column("piece").to_pylist(), group.column("n").to_pylist(), entries))
+
+    found = written(docs.select("text").mapInArrow(counted, SUMMARY_DDL), "frequent")
+    while not rows_below(found, fan_in):
+        found = written(found.groupBy(F.expr(f"part div {fan_in}")).applyInArrow(joined, SUMMARY_DDL), "frequent")
+    last = found.collect()  # fan_in summaries at most
+    best = sorted(_merged([r.piece for r in last], [r.n for r in last], entries).items(), key=lambda x: (-x[1], x[0]))
     counter = bpe.Pieces(path, lengths=True)
-    return FrequentTable(pieces, [counter[p] for p in pieces])
+    return FrequentTable([k for k, _ in best], [counter[k] for k, _ in best])
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
