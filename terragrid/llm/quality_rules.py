@@ -100,9 +100,9 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, bool, bool, int]
 
 
 def clean(text: str | None) -> str:
-    """The lines of a text that no rule fails."""
+    """A text without the lines that a rule fails; blank lines stay."""
     lines = ((x, x.encode().lower()) for x in (text or "").split("\n"))
-    return "\n".join(x for x, low in lines if low.split() and not line_fails(low.split(), low))
+    return "\n".join(x for x, low in lines if not low.split() or not line_fails(low.split(), low))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), *((x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("kept_words", pa.int64())])
@@ -126,12 +126,30 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return per_text(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, kept_words long")
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows whose documents are kept, with all their columns."""
+def kept_documents(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The rows whose documents are kept, without their failed lines, with all their columns.
+
+    A text that loses lines has its new length in the column ``length``, where
+    there is one; every other value stays as it is.  Nulls, empty texts and
+    repeated rows are judged as in quality_rules().
+    """
+    fields = docs.columns
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array([measure(x)[6] for x in column(batch, "text")], pa.bool_()))
+            texts = column(batch, text)
+            judged = [measure(x) for x in texts]
+            kept = [i for i, m in enumerate(judged) if m[6]]
+            cut = {i: clean(texts[i]) for i in kept if judged[i][7] < judged[i][0]}
+            part = batch.take(pa.array(kept, pa.int64()))
+            if cut:
+                columns = dict(zip(fields, part.columns, strict=True))
+                columns[text] = pa.array([cut.get(i, texts[i]) for i in kept], part.column(fields.index(text)).type)
+                if length in fields:
+                    own = part.column(fields.index(length))
+                    columns[length] = pa.array([len(cut[i]) if i in cut else x for i, x in zip(kept, own.to_pylist(), strict=True)], own.type)
+                part = pa.RecordBatch.from_arrays(list(columns.values()), schema=part.schema)
+            yield part
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -80,10 +80,19 @@ def test_token_counts_are_the_librarys(spark, odd, none):
 
 
 def test_token_counts_do_not_depend_on_the_table(spark, odd):
-    a, b = (token_counts.token_counts(odd, **k).collect() for k in ({"sample_docs": 1, "entries": 1}, {}))
+    a, b = (token_counts.token_counts(odd, **k).collect() for k in ({"entries": 1}, {}))
     assert a == b
 
 
+def test_frequent_table_covers_all_documents(spark):
+    rows = [(i, f"often w{i} " * 3 + "z" * 100) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    table = token_counts.frequent_table(docs, bpe.vocabulary_path(), entries=4, fan_in=2).as_dict()
+    assert len(table) <= 4 and " often" in table and all(len(k) <= bpe.CACHE_CHARS for k in table)
+    assert all(n == len(library_ids([k])[0]) for k, n in table.items())
+    assert token_counts.frequent_table(docs.limit(0), bpe.vocabulary_path()).as_dict() == {}
+
+
 def test_pieces_survive_a_full_cache(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     texts = [PROSE, PROSE.upper(), "tabs\t\tand   spaces \n\n end"]
@@ -336,6 +345,7 @@ def test_quality_rules_counts():
     junk = "one*** two%%% three$$$ four&&& five### six*** seven*** eight*** nine*** ten*** more***"
     assert m(junk)[5:7] == (False, False) and m(PROSE + "\nhome | news | about")[5:7] == (False, True)
     assert quality_rules.clean(PROSE + "\nhome | news | about") == PROSE
+    assert quality_rules.clean(PROSE + "\n\n" + PROSE) == PROSE + "\n\n" + PROSE and quality_rules.clean(None) == ""
 
 
 def test_quality_rules_frames(odd, none):
@@ -345,6 +355,14 @@ def test_quality_rules_frames(odd, none):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 3, 4, 8]
 
 
+def test_failed_lines_leave_kept_documents(spark):
+    rows = [(1, PROSE + "\n\nAll rights reserved.", None, "s", 5), (2, PROSE + "\n\n" + PROSE.upper(), "en", None, 7), (3, "home | news | about", "en", "s", None)]
+    got = quality_rules.kept_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert sorted(map(tuple, got)) == [(1, PROSE + "\n", None, "s", len(PROSE) + 1), rows[1]]
+    bare = quality_rules.kept_documents(spark.createDataFrame([(rows[0][1],)], "text string")).collect()
+    assert [tuple(r) for r in bare] == [(PROSE + "\n",)]
+
+
 @pytest.mark.parametrize("table_words", [1 << 20, 4])
 def test_base_scores_are_exact(spark, odd, none, table_words):
     docs = odd.collect()
