@@ -165,10 +165,14 @@ class Segment:
             begin = stop
         return np.concatenate(out_w or [np.zeros(0, np.int64)]), np.concatenate(out_p or [np.zeros(0, np.int64)])
 
+    def postings_of(self, term: int) -> np.ndarray:
+        """One term's positions."""
+        k = int(np.searchsorted(self.term, term))
+        return self.position[self.term_start[k] : self.term_start[k + 1]] if k < len(self.term) and self.term[k] == term else np.zeros(0, np.int32)
+
     def near(self, terms: list[int], distance: int) -> list[int]:
-        """Positions of the rarest term around which all ``terms`` lie within ``distance`` words."""
-        at = {int(t): self.position[a:b] for t, a, b in zip(self.term, self.term_start[:-1], self.term_start[1:], strict=True)}
-        lists = sorted((at.get(t, np.zeros(0, np.int32)) for t in set(terms)), key=len)
+        """Positions of the rarest term (of equals, the lowest) around which all ``terms`` lie within ``distance`` words."""
+        lists = sorted(map(self.postings_of, sorted(set(terms))), key=len)
         if not lists:
             return []
         pos = lists[0].astype(np.int64)
@@ -176,6 +180,16 @@ class Segment:
             pos = pos[np.searchsorted(other, pos + distance, "right") > np.searchsorted(other, pos - distance, "left")]
         return pos.tolist()
 
+    def near_windows(self, phrases: Phrases, distance: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, position) of every proximity match of a window's terms."""
+        if not len(phrases.windows) or not len(self.position):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        counts = self.counts(len(phrases.vocab))
+        inside = np.arange(phrases.windows.shape[1]) < phrases.length[:, None]
+        alive = np.flatnonzero(((counts[phrases.windows] > 0) | ~inside).all(1))
+        found = [self.near(phrases.windows[w, : phrases.length[w]].tolist(), distance) for w in alive]
+        return np.repeat(alive, [len(x) for x in found]), np.array([p for x in found for p in x], np.int64)
+
     def doc_at(self, pos: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.start, pos, "right") - 1
 
@@ -211,6 +225,54 @@ def searched(index: DataFrame, phrases: Phrases) -> DataFrame:
     return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>")
 
 
+MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("at", pa.int64()), ("length", pa.int64()), ("exact", pa.bool_())])
+
+
+def occurrences(index: DataFrame, phrases: Phrases, distance: int | None = None) -> DataFrame:
+    """(doc_id, item_id, at, length, exact) of every match in a stored index; ``at`` counts words from the document's start.
+
+    Exact matches are phrases.  With a ``distance`` there are proximity matches
+    as well (not exact, of length 1): places of a window's rarest word in the
+    segment with all its other words within ``distance`` words, in any order.
+    """
+    if distance is not None and not 0 <= distance < GAP:
+        raise ValueError(f"distance must be from 0 to {GAP - 1}")
+    sent = index.sparkSession.sparkContext.broadcast(phrases)
+
+    def rows(segment: Segment, own: Phrases, window: np.ndarray, pos: np.ndarray, exact: bool) -> list[tuple]:
+        doc, out = segment.doc_at(pos), set()
+        for d, p, w in zip(doc.tolist(), pos.tolist(), window.tolist(), strict=True):
+            for k in own.item_of[own.item_at[w] : own.item_at[w + 1]].tolist():
+                out.add((d, p - int(segment.start[d]), int(own.length[w]) if exact else 1, own.items[k]))
+        return [(segment.doc_id[d], item, at, n, exact) for d, at, n, item in sorted(out)]
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # a row is a whole segment
+                segment = Segment.stored(batch, i)
+                out = rows(segment, sent.value, *segment.search(sent.value), True)
+                if distance is not None:
+                    out += rows(segment, sent.value, *segment.near_windows(sent.value, distance), False)
+                if out:
+                    yield batch_of(MATCH, *zip(*out, strict=True))
+
+    return index.mapInArrow(run, "doc_id long, item_id string, at long, length long, exact boolean")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, distance: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """All exact phrase matches, and with a ``distance`` all proximity matches, of test items in documents.
+
+    Texts without words and items without an id match nothing; a null doc_id
+    stays null; repeated rows match each; empty tables give no rows.
+    """
+    found = None
+    for part in blocks(benchmark, block_bytes):
+        phrases = Phrases(items_of(part), width)
+        one = occurrences(build_index(docs, phrases), phrases, distance)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def blocks(benchmark: DataFrame, most: int) -> list[DataFrame]:
     """The test items in parts by a hash of their ids, each of about ``most`` bytes at most."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
@@ -248,22 +310,11 @@ def _in_blocks(docs: DataFrame, parts: list[DataFrame], width: int) -> DataFrame
     found = None
     for part in parts:
         phrases = Phrases(items_of(part), width)
-        sent = keyed.sparkSession.sparkContext.broadcast(phrases)
-
-        def run(batches, sent=sent):
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    segment, block = Segment.stored(batch, i), sent.value
-                    window, pos = segment.search(block)
-                    doc = segment.doc_at(pos)
-                    rows = sorted({(segment.doc_id[d], int(p - segment.start[d]), int(block.length[w]), block.items[k]) for d, p, w in zip(doc, pos, window, strict=True) for k in block.item_of[block.item_at[w] : block.item_at[w + 1]]})
-                    yield pa.RecordBatch.from_pydict({n: pa.array([r[j] for r in rows], t) for j, (n, t) in enumerate((("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("item", pa.string())))})
-
-        one = build_index(keyed, phrases).mapInArrow(run, "doc_id long, at long, n long, item string")
+        one = occurrences(build_index(keyed, phrases), phrases)
         found = one if found is None else found.unionByName(one)
     found = written(found, "hits")
-    covered = found.select("doc_id", F.explode(F.expr("sequence(at, at + n - 1)")).alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = found.select("doc_id", "item").distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    covered = found.select("doc_id", F.explode(F.expr("sequence(at, at + length - 1)")).alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
+    items = found.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     count = Phrases([], width)
     sizes = searched(build_index(keyed, count), count).select("doc_id", "n_words")
     return (

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_of, column, crc_mod, per_text, table
+from .common import batch_of, column, crc_mod, per_text, slices, table
 
 #: Labelled documents the trees are fitted on at most: those whose ids have the smallest hashes.
 FIT_ROWS = 20_000
@@ -181,9 +181,8 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     sent = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(scores(column(batch, "text"), sent.value) >= threshold))
+        for part in slices(batches):
+            yield part.filter(pa.array(scores(column(part, "text"), sent.value) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -42,6 +42,7 @@ class VectorPacker:
         self.left = np.zeros((0, 3))
         self.ids = np.zeros(0, np.int64)
         self.open_bins, self.cut, self.bins = open_bins, cut, 0
+        self.closed: list[int] = []  # bins that take no more; the caller empties the list
 
     def _open(self) -> int:
         self.left = np.vstack([self.left, self.limit])
@@ -58,6 +59,7 @@ class VectorPacker:
         return where, offset
 
     def _close(self, k: int) -> None:
+        self.closed.append(int(self.ids[k]))
         self.left = np.delete(self.left, k, 0)
         self.ids = np.delete(self.ids, k)
 
@@ -120,9 +122,6 @@ class Tail:
     def add(self, where: int, piece: tuple) -> None:
         self.bins.setdefault(where, []).append(piece)
 
-    def full(self, where: int, tokens: int) -> bool:
-        return sum(p[2] for p in self.bins[where]) == tokens
-
     def pop(self, where: int) -> list[tuple]:
         return self.bins.pop(where)
 
@@ -159,21 +158,17 @@ def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", token
                 n = len(raw) // 4
                 for where, _, at, length in packer.place(n):
                     tail.add(where, (doc, at, length, raw[4 * at : 4 * (at + length)], n))
-                    if where not in packer.ids:
-                        kept = tail.pop(where)
-                        size = sum(x[2] for x in kept)
-                        if size == tokens:
-                            out += rows(kept, base + number)
-                            number += 1
-                        else:
-                            for cut in halved(kept, size):
-                                out += rows(cut, base + number)
-                                number += 1
+                while packer.closed:
+                    kept = tail.pop(packer.closed.pop())
+                    size = sum(x[2] for x in kept)
+                    for cut in [kept] if size == tokens else halved(kept, size):
+                        out += rows(cut, base + number)
+                        number += 1
             if out:
                 yield batch_of(OUT, *zip(*out, strict=True))
         out = []
         rest = [x for where in list(tail.bins) for x in tail.pop(where)]
-        for kept in refilled(rest, tokens, segments):
+        for kept in refilled(rest, min(tokens, loss), segments):  # every token bears loss
             for cut in halved(kept, sum(x[2] for x in kept)):
                 out += rows(cut, base + number)
                 number += 1

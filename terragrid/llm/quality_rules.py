@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_of, column, per_text, table
+from .common import batch_of, column, per_text, slices, table
 
 #: Least words of a document; percentage of repeated words above which it fails; least percentage of words in kept lines.
 MIN_WORDS, MAX_REPEAT, MIN_KEPT = 10, 20, 50
@@ -136,7 +136,7 @@ def kept_documents(docs: DataFrame, text: str = "text", length: str = "n_chars")
     fields = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             texts = column(batch, text)
             judged = [measure(x) for x in texts]
             kept = [i for i, m in enumerate(judged) if m[6]]

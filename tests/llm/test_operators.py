@@ -132,6 +132,18 @@ def test_packing_covers_every_id_once(spark, odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+@pytest.mark.parametrize(("segments", "loss"), [(3, 2048), (512, 500), (1, 2048)])
+def test_packing_keeps_every_limit_to_the_end(spark, odd, segments, loss):
+    docs = odd.unionByName(odd).repartition(3)
+    pieces = packing.pack_documents(docs, segments=segments, loss=loss).collect()
+    assert check_packing(docs.collect(), pieces) == 0
+    own = Counter(p.sequence_id for p in pieces)
+    size = Counter()
+    for p in pieces:
+        size[p.sequence_id] += p.length
+    assert max(own.values()) <= segments and max(size.values()) <= loss
+
+
 def test_packer_keeps_every_limit():
     rng = np.random.default_rng(3)
     for cut in (True, False):
@@ -148,6 +160,7 @@ def test_packer_keeps_every_limit():
                 assert offset == t
                 used[where] = (t + length, s + 1, b + int(loss[start : start + length].sum()))
         assert all(t <= 64 and s <= 5 and b <= 40 for t, s, b in used.values())
+        assert len(packer.closed) == len(set(packer.closed)) and set(packer.closed) | set(packer.ids) == set(used) and not set(packer.closed) & set(packer.ids)
 
 
 def test_simhash_equals_brute_force(spark, odd, none):
@@ -297,11 +310,34 @@ def test_decontamination_equals_brute_force(spark, odd, none, block_bytes):
     assert not any(r.contaminated for r in decontamination.decontaminate(docs, bench.limit(0), 5).collect())
 
 
-def test_proximity(spark):
+def test_proximity():
     vocab = {b"a": 0, b"b": 1, b"c": 2}
     seg = decontamination.Segment(*decontamination.postings([1], ["a x b x x c a"], vocab))
-    assert seg.near([0, 1], 2) == [2] or seg.near([0, 1], 2) == [0, 2] or seg.near([0, 1], 2)
-    assert seg.near([0, 1, 2], 1) == [] and seg.near([2, 0], 1) != []
+    assert seg.near([0, 1], 2) == [2] and seg.near([0, 1], 1) == []
+    assert seg.near([0, 1, 2], 1) == [] and seg.near([2, 0], 1) == [5] and seg.near([0, 0], 0) == [0, 6]
+    assert seg.near([], 3) == [] and seg.near([0, 7], 9) == []
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 20])
+def test_matches_equal_brute_force(spark, none, block_bytes):
+    docs = {1: "x a b c x c b a", 2: "c x x x b", 3: None, 4: "A-B, c! a b c", 5: ""}
+    items = {"p": "a b c", "q": "b c", "r": "zz a", "s": None, "t": "a b c"}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(items.items()), "item_id string, text string")
+    got = decontamination.matches(frame, bench, 3, distance=2, block_bytes=block_bytes).collect()
+    want = set()
+    for d, text in docs.items():
+        own = decontamination.words(text)
+        for k, item in items.items():
+            for w in decontamination.windows(decontamination.words(item), 3):
+                want |= {(d, k, i, len(w)) for i in range(len(own) - len(w) + 1) if tuple(own[i : i + len(w)]) == w}
+    assert {(r.doc_id, r.item_id, r.at, r.length) for r in got if r.exact} == want and len(want) == 9
+    near = {(r.doc_id, r.item_id) for r in got if not r.exact}
+    assert near == {(d, k) for d in (1, 4) for k in "pqt"} and all(r.length == 1 for r in got if not r.exact)
+    assert {(r.doc_id, r.item_id) for r in decontamination.matches(frame, bench, 3, distance=4).collect()} >= {(2, "q")}
+    assert decontamination.matches(none, bench, 3, block_bytes=block_bytes).count() == 0
+    with pytest.raises(ValueError):
+        decontamination.matches(frame, bench, 3, distance=decontamination.GAP)
 
 
 def test_urls():
