@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import near_copies
 from .common import batch_of, column, lower_words, per_text, table, written
 from .components import components
 
@@ -107,13 +108,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> Data
     return rows.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents that name their component, with all their columns: one of each group of near duplicates.
+def one_of_each(docs: DataFrame, width: int = near_copies.WIDTH) -> DataFrame:
+    """The documents that name their component of near copies, with all their columns: one of each group.
 
-    Repeated rows of one doc_id leave one row.  Rows with a null doc_id have no
-    identity to compare and stay.
+    Near copies are those of ``near_copies``, not fingerprints at BITS bits:
+    edited copies mostly lie farther apart.  Repeated rows of one doc_id leave
+    one row.  Rows with a null doc_id have no identity to compare and stay.
     """
-    kept = near_duplicates(docs, width).where("doc_id = component_id").select("doc_id").distinct()
+    kept = near_copies.copies(docs, width).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
 

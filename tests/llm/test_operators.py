@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from terragrid.llm import bigru, bloom_lm, bpe, decontamination, gbt_quality, packing, quality_rules, sharding, simhash, token_counts, url_filter
+from terragrid.llm import bigru, bloom_lm, bpe, decontamination, gbt_quality, near_copies, packing, quality_rules, sharding, simhash, token_counts, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, fp long, cell string"
 PROSE = "the quick brown fox jumps over the lazy dog and then runs far away from all of the noisy hounds."
@@ -222,6 +222,33 @@ def test_dedup_keeps_one_of_each(spark, odd):
     assert 3 in ids and 4 not in ids and 0 in ids and 1 not in ids and len(ids) == len(set(ids))
 
 
+def test_dedup_finds_edited_copies(spark):
+    rng = np.random.default_rng(7)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    texts = []
+    for edits in (0, 1, 2, 4, 5, 6, 8, 12):
+        for _ in range(12):
+            base = word(150)
+            other = list(base)
+            for i in rng.choice(150, edits, replace=False):
+                other[i] = "edit"
+            texts += [" ".join(base), " ".join(other)]
+    frame = word(120)
+    for _ in range(80):  # a large group of copies, and texts that share a part only
+        texts += [" ".join(frame + word(3)), " ".join(frame[:40] + word(40)), " ".join(frame[:9] + word(1))]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    like = {(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_copies.shingled(docs)
+    of = {r.sid: r.doc_id for r in rows.select("sid", "doc_id").orderBy("doc_id", ascending=False).collect()}
+    equal = {(i, j) for i, j in like if sets[i] == sets[j]}
+    assert {tuple(sorted((of[r.u], of[r.v]))) for r in near_copies.copy_links(rows).collect()} <= like - equal
+    kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
+    assert not any(i in kept and j in kept for i, j in like)
+    assert all(i in kept or any(i in pair for pair in like) for i in range(len(texts)))
+    assert sum(i not in kept for i in range(len(texts))) > 12 * 3 + 70
+
+
 def test_components(spark):
     from terragrid.llm.components import components
 
