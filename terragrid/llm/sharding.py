@@ -3,8 +3,9 @@
 Documents of equal text are linked.  Their groups are the nodes; a group above
 a shard's capacity is several nodes, dealt by a hash of the document's id.
 Every document begins in a shard that its id decides.  In each round every
-node that is not yet together proposes the open shard where most of its members
-are; proposals are accepted while the shard's quota lasts, larger nodes first.
+node that is not yet together proposes, of the shards with room for it, the one
+where most of its members are; proposals are accepted while the shard's quota
+lasts, larger nodes first, and rounds go on until no node left fits any shard.
 Cumulative sums over a bounded number of priority buckets decide that, so no
 task ever sorts all proposals.  At the end unlinked documents fill the shards,
 and exactly the rows above a shard's share move to shards below theirs.
@@ -16,6 +17,8 @@ Everything is DataFrame operations; the driver sees one row per shard a round.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +26,8 @@ from .common import table, written
 
 #: A group with more than one in so many of all rows is joined by broadcast: there are at most so many.
 SPREAD = 1000
-#: Shards, rounds of propagation, priority buckets of a size class, rows that a ranking bucket has about.
-SHARDS, ROUNDS, BUCKETS, RANKED = 40, 6, 256, 4000
+#: Shards, priority buckets of a size class, rows that a ranking bucket has about.
+SHARDS, BUCKETS, RANKED = 40, 256, 4000
 
 
 def _array(values: list[int]):
@@ -32,22 +35,30 @@ def _array(values: list[int]):
 
 
 def _propose(state: DataFrame, room: list[int], turn: int) -> DataFrame:
-    """Each unsettled node's (gid, chunk, n, target): the open shard with most of its members, else one that a hash picks."""
-    is_open = F.element_at(_array(room), F.col("shard") + 1)
-    near = F.max(F.when(is_open >= F.col("total"), F.struct("n", (-F.col("shard")).alias("order"))))
-    shards = [s for s, r in enumerate(room) if r > 0] or [0]
-    picked = F.element_at(_array(sorted(shards, key=lambda s: -room[s])), (F.pmod(F.xxhash64("gid", "chunk", F.lit(turn)), F.lit(len(shards))) + 1).cast("int")).cast("int")
-    return state.groupBy("gid", "chunk").agg(F.max("total").alias("n"), near.alias("near")).select("gid", "chunk", "n", F.coalesce(-F.col("near.order"), picked).alias("target"))
+    """Each unsettled node's (gid, chunk, n, target): of the shards with room for it the one with most of its members, else one that a hash picks; none if it fits nowhere."""
+    fits = F.element_at(_array(room), F.col("shard") + 1) >= F.col("total")
+    near = F.max(F.when(fits, F.struct("n", F.xxhash64("gid", "chunk", "shard", F.lit(turn)).alias("order"), "shard")))
+    shards = sorted(range(len(room)), key=lambda s: -room[s])
+    able = F.size(F.filter(_array(room), lambda x: x >= F.col("n")))
+    picked = F.when(able > 0, F.element_at(_array(shards), (F.pmod(F.xxhash64("gid", "chunk", F.lit(turn)), F.greatest(able, F.lit(1))) + 1).cast("int"))).cast("int")
+    return state.groupBy("gid", "chunk").agg(F.max("total").alias("n"), near.alias("near")).select("gid", "chunk", "n", F.coalesce(F.col("near.shard"), picked).alias("target")).where("target is not null")
 
 
 def _accepted(proposals: DataFrame, room: list[int], turn: int) -> DataFrame:
-    """The proposals whose priority bucket fits, with all before it, into the target's quota."""
+    """The proposals that fit, with all before them, into the target's quota: whole priority buckets, and the first of the next one by rank.
+
+    Each target accepts one proposal at least, since none exceeds its room.
+    """
     bucket = (F.lit(64) - F.ceil(F.log2(F.col("n")))) * BUCKETS + F.pmod(F.xxhash64("gid", "chunk", F.lit(turn + 1000)), F.lit(BUCKETS))
     marked = proposals.withColumn("bucket", bucket.cast("int"))
     inflow = marked.groupBy("target", "bucket").agg(F.sum("n").alias("inflow"))
     before = Window.partitionBy("target").orderBy("bucket")
-    fits = inflow.withColumn("until", F.sum("inflow").over(before)).where(F.col("until") <= F.element_at(_array(room), F.col("target") + 1)).select("target", "bucket")
-    return marked.join(F.broadcast(fits), ["target", "bucket"], "left_semi").select("gid", "chunk", "n", "target")  # at most shards x 64 x BUCKETS rows
+    left = F.element_at(_array(room), F.col("target") + 1) - F.col("until") + F.col("inflow")
+    begun = inflow.withColumn("until", F.sum("inflow").over(before)).withColumn("left", left).where("left > 0").select("target", "bucket", "left", (F.col("inflow") <= F.col("left")).alias("fits"))
+    found = marked.join(F.broadcast(begun), ["target", "bucket"])  # at most shards x 64 x BUCKETS rows
+    inner = Window.partitionBy("target", "bucket").orderBy("n", "gid", "chunk").rowsBetween(Window.unboundedPreceding, 0)
+    part = found.where("not fits").withColumn("sum", F.sum("n").over(inner)).where("sum <= left")
+    return found.where("fits").select("gid", "chunk", "n", "target").unionByName(part.select("gid", "chunk", "n", "target"))
 
 
 def _joined(rows: DataFrame, side: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
@@ -63,21 +74,22 @@ def _joined(rows: DataFrame, side: DataFrame, keys: list[str], size: str, total:
     return hot.unionByName(cold)
 
 
-def propagate(members: DataFrame, capacity: int, shards: int, rounds: int) -> DataFrame | None:
+def propagate(members: DataFrame, capacity: int, shards: int) -> DataFrame | None:
     """(gid, chunk, n, target) of the nodes that are together in one shard; None without nodes.
 
     ``members``: (gid, chunk, shard, n), the rows of a node in each shard.
+    Rounds go on until no node is left that fits any shard.
     """
     nodes = Window.partitionBy("gid", "chunk")
     state = written(members.withColumn("total", F.sum("n").over(nodes)), "members")
     load, settled = [0] * shards, None
-    for turn in range(rounds):
+    for turn in count():
         room = [max(0, capacity - x) for x in load]
         if not any(room):
             break
         won = written(_accepted(_propose(state, room, turn), room, turn), "moves")
         moved = won.groupBy("target").agg(F.sum("n").alias("n")).collect()
-        if not moved and turn:
+        if not moved:
             break
         for r in moved:
             load[r.target] += r.n
@@ -88,7 +100,7 @@ def propagate(members: DataFrame, capacity: int, shards: int, rounds: int) -> Da
     return None if settled is None else settled.select("gid", "chunk", "n", "target")
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, ranked: int = RANKED) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = SHARDS, ranked: int = RANKED) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document; one row per input row.
 
     A null text has size 16 and crc32 0 and is linked to other null texts, not
@@ -111,12 +123,15 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     tagged = _joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
     tagged = written(tagged.drop("parts", "members"), "tagged")
     linked = tagged.where("chunk is not null")
-    placed = propagate(linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n")), capacity, shards, rounds)
+    placed = propagate(linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n")), capacity, shards)
     if placed is not None:
         tagged = _joined(tagged, placed, ["gid", "chunk"], "n", total).withColumn("home", F.coalesce("target", "home"))
-    tagged = tagged.select("doc_id", "size", "text_crc32", "home", F.when(F.col("chunk").isNull(), 1).otherwise(0).alias("loose"))
+    else:
+        tagged = tagged.withColumn("target", F.lit(None).cast("int"))
+    loose = F.when(F.col("target").isNotNull(), 0).when(F.col("chunk").isNotNull(), 1).otherwise(2)
+    tagged = tagged.select("doc_id", "size", "text_crc32", "home", loose.alias("loose"))
 
-    # Ranks within a shard, linked rows first: counts of hashed buckets, their running sums, then ranks inside a bucket.
+    # Ranks within a shard, rows of settled nodes first and unlinked ones last: counts of hashed buckets, their running sums, then ranks inside a bucket.
     pieces = max(4, -(-capacity // ranked))
     bucketed = tagged.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(5)), F.lit(pieces)).cast("int"))
     bucketed = written(bucketed, "bucketed")

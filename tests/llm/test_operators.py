@@ -303,6 +303,19 @@ def test_sharding_is_even_and_keeps_groups(spark, odd, none):
     assert sharding.balanced_shards(none).count() == 0
 
 
+@pytest.mark.parametrize("size", [2, 3, 5])
+def test_sharding_places_all_groups_that_fit(spark, size):
+    docs = spark.createDataFrame([(i, f"group {i // size}") for i in range(4000)], "doc_id long, text string")
+    got = sharding.balanced_shards(docs).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.doc_id // size, set()).add(r.shard)
+    counts = Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    room = 40 * (100 // size)  # groups that 40 shards of 100 rows can hold
+    assert sum(len(v) > 1 for v in groups.values()) <= max(0, len(groups) - room)
+
+
 def brute_hits(text, items, width):
     own = decontamination.words(text)
     hit, names = set(), set()
