@@ -30,6 +30,8 @@ PLAIN = ("the", "and", "of", "in", "on", "to", "for", "news", "blog", "shop", "w
 DICTIONARY, LONGEST, FEATURES = 50_000, 20, 1 << 16
 #: Prior counts of listed words, and the smoothing of naive Bayes.
 LISTED, SMOOTH = 50, 1.0
+#: Labels that are part of the public suffix before a country's.
+GENERAL = frozenset(("ac", "co", "com", "edu", "gob", "gov", "gouv", "go", "mil", "ne", "net", "nom", "or", "org"))
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -93,10 +95,16 @@ def runs(text: str) -> list[str]:
     return [r[i : i + 256] for r in _RUN.findall(text.lower()) for i in range(0, len(r), 256)]
 
 
+def names(host: str) -> str:
+    """The labels of a host but its public suffix: the last label, with a general one before a country's (co.uk)."""
+    labels = host.split(".")
+    suffix = 2 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in GENERAL else 1
+    return ".".join(labels[:-suffix]) or host
+
+
 def tokens(host: str, path: str, words: WordModel) -> list[str]:
-    """Segmented words of host labels but the last two (the registered domain), and of the path."""
-    own = ".".join(host.split(".")[:-2]) or host
-    return ["h:" + w for r in runs(own) for w in words.split(r)] + ["p:" + w for r in runs(path) for w in words.split(r)]
+    """Segmented words of all host labels but the public suffix, and of the path."""
+    return ["h:" + w for r in runs(names(host)) for w in words.split(r)] + ["p:" + w for r in runs(path) for w in words.split(r)]
 
 
 def buckets(features: list[str]) -> list[int]:

@@ -388,6 +388,17 @@ def test_urls():
     assert r("m.example.com", "/de/") == ("example.com/de/", "block") and r("notexample.com", "/de/") == (None, None) and r("b.org", "/fr/x") == ("org/fr/", "allow")
 
 
+def test_registered_names_are_scored(spark):
+    words = url_filter.WordModel({w: 50 for w in (*url_filter.SPAM, *url_filter.PLAIN)})
+    split = lambda host: [x[2:] for x in url_filter.tokens(host, "", words)]
+    assert split("www.freebets.com") == ["www", "free", "bets"] and split("freebets.com") == ["free", "bets"]
+    assert split("m.cheappills.co.uk") == ["m", "cheap", "pills"] and split("localhost")
+    hosts = ["www.freebets.com", "m.onlinecasino.info", "blog.cheappills.co.uk", "www.healthnews.com", "m.musicworld.info", "blog.schoolbook.co.uk"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x/{i}") for i, h in enumerate(hosts * 5)], "page_id long, url string")
+    got = {(r.host, r.verdict) for r in url_filter.url_verdicts(pages).collect()}
+    assert got == {(h, "block" if i < 3 else "allow") for i, h in enumerate(hosts)}
+
+
 def test_viterbi_finds_the_best_split():
     import itertools
 
