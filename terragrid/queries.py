@@ -223,6 +223,12 @@ def knn_k8(spark, sf_dir):
     return match.nearest(r, _targets(spark), ["row", "col"], k=8).select("row", "col", F.col("rank").cast("long").alias("rank"), F.round("d2", 12).alias("d2"))
 
 
+@_query("knn_k8_all")
+def knn_k8_all(spark, sf_dir):
+    """knn_k8 over all pixels; tests hold it against brute force, since the all-pairs SQL is too slow."""
+    return match.nearest(_raster(spark, sf_dir).df, _targets(spark), ["row", "col"], k=8).select("row", "col", F.col("rank").cast("long").alias("rank"), F.round("d2", 12).alias("d2"))
+
+
 @_query("legacy_slope", f"WITH {_PX}, e AS (SELECT a.row, a.col, a.lat, a.n, a.z, s.z AS vs, nn.z AS vn, ee.z AS ve, ww.z AS vw FROM px a LEFT JOIN px s ON s.col = a.col AND s.row = a.row - 1 LEFT JOIN px nn ON nn.col = a.col AND nn.row = a.row + 1 LEFT JOIN px ee ON ee.row = a.row AND ee.col = a.col + 1 LEFT JOIN px ww ON ww.row = a.row AND ww.col = a.col - 1) SELECT row, col, round((CASE WHEN col = 0 THEN ve - z WHEN col = 63 THEN z - vw ELSE (ve - vw) / 2 END) / (6371000.0::DOUBLE * radians(5.625::DOUBLE) * cos(radians(lat))), 12) AS slope_x, round((CASE WHEN row = 0 THEN vn - z WHEN row = n - 1 THEN z - vs ELSE (vn - vs) / 2 END) / (6371000.0::DOUBLE * radians(-180.0::DOUBLE / n)), 12) AS slope_y FROM e")
 def legacy_slope(spark, sf_dir):
     r = _raster(spark, sf_dir)

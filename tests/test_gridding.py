@@ -193,6 +193,20 @@ def test_nearest_settles_far_pixels(spark):
     assert got[1, 1] == 1 and got[1, 2] == 3 and got[2, 1] == 2 and len(got) == 6
 
 
+def test_knn_covers_every_pixel(spark):
+    n = queries._raster(spark, SF).df.select("row").distinct().count()
+    got = queries.queries()["knn_k8_all"](spark, SF).toPandas()
+    i = np.arange(300)
+    unit = lambda lat, lon: np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat) + 0 * lon], -1)
+    targets = unit(np.radians(-60 + i * 37 % 120), np.radians(-180 + i * 83 % 360))
+    lats, lons = np.radians(90 - (np.arange(n) + 0.5) * 180 / n), np.radians(-180 + (np.arange(64) + 0.5) * 5.625)
+    want = np.stack([np.sort(((unit(a, lons)[:, None] - targets) ** 2).sum(-1), 1)[:, :8] for a in lats])
+    assert len(got) == n * 64 * 8
+    out = np.full(want.shape, np.nan)
+    out[got["row"], got["col"], got["rank"] - 1] = got["d2"]
+    assert np.abs(out - want).max() < 1e-9
+
+
 def test_small_helpers(spark, tmp_path):
     assert grid_step([359.0, 0.0, 1.0]) == 1.0 and grid_step([1.0]) is None
     assert output.safe_names(["a b", "c"]) == ["a_b", "c"]
