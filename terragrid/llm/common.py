@@ -16,6 +16,8 @@ from ..shipping import ensure_shipped
 SLICE_BYTES = 4 << 20
 #: Rows in one slice at most.
 SLICE_ROWS = 4096
+#: A group with more than one in so many of all rows is joined by broadcast: there are at most so many.
+SPREAD = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     ``spark.checkpoint.dir`` names it on a cluster.  Only where it is unset
-    (tests, local mode) is a folder chosen here.
+    (tests, local mode) is a folder chosen here, one for each application.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
-    return at.rstrip("/") if at else "/tmp/checkpoints"
+    if not at and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return at.rstrip("/") if at else f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -92,6 +96,24 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def few(df: DataFrame, most: int = 1 << 18) -> DataFrame:
+    """``df``, marked for broadcast if it has ``most`` rows at most; counted first, so give it rows of bounded width that are read cheaply."""
+    return F.broadcast(df) if rows_below(df, most) else df
+
+
+def joined(rows: DataFrame, side: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` left-joined with ``side``, whose rows each match ``size`` of ``rows``.
+
+    Those that match more than one row in SPREAD are at most SPREAD and are
+    broadcast, so no task gets the rows of a large group; the others are joined
+    by a shuffle.
+    """
+    large = F.broadcast(side.where(F.col(size) * SPREAD > total))
+    hot = rows.join(large, keys)
+    cold = rows.join(large.select(*keys), keys, "left_anti").join(side.where(F.col(size) * SPREAD <= total), keys, "left")
+    return hot.unionByName(cold)
+
+
 def rows_below(df: DataFrame, most: int) -> bool:
     """Whether ``df`` has at most ``most`` rows; reads no more than that and one."""
     return df.limit(most + 1).count() <= most

@@ -22,10 +22,8 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import joined, table, written
 
-#: A group with more than one in so many of all rows is joined by broadcast: there are at most so many.
-SPREAD = 1000
 #: Shards, priority buckets of a size class, rows that a ranking bucket has about.
 SHARDS, BUCKETS, RANKED = 40, 256, 4000
 
@@ -61,19 +59,6 @@ def _accepted(proposals: DataFrame, room: list[int], turn: int) -> DataFrame:
     return found.where("fits").select("gid", "chunk", "n", "target").unionByName(part.select("gid", "chunk", "n", "target"))
 
 
-def _joined(rows: DataFrame, side: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
-    """``rows`` left-joined with ``side``, whose rows each match ``size`` of ``rows``.
-
-    Those that match more than one row in SPREAD are at most SPREAD and are
-    broadcast, so no task gets the rows of a large group; the others are joined
-    by a shuffle.
-    """
-    large = F.broadcast(side.where(F.col(size) * SPREAD > total))
-    hot = rows.join(large, keys)
-    cold = rows.join(large.select(*keys), keys, "left_anti").join(side.where(F.col(size) * SPREAD <= total), keys, "left")
-    return hot.unionByName(cold)
-
-
 def propagate(members: DataFrame, capacity: int, shards: int) -> DataFrame | None:
     """(gid, chunk, n, target) of the nodes that are together in one shard; None without nodes.
 
@@ -120,12 +105,12 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, ranked: int = RANKED)
     groups = rows.groupBy("gid").agg(F.count("*").alias("members")).where("members > 1")
     parts = F.when(F.col("members") > capacity, F.ceil(2 * F.col("members") / F.lit(max(1, capacity)))).otherwise(1).cast("long")
     groups = written(groups.withColumn("parts", parts), "groups")
-    tagged = _joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
+    tagged = joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
     tagged = written(tagged.drop("parts", "members"), "tagged")
     linked = tagged.where("chunk is not null")
     placed = propagate(linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n")), capacity, shards)
     if placed is not None:
-        tagged = _joined(tagged, placed, ["gid", "chunk"], "n", total).withColumn("home", F.coalesce("target", "home"))
+        tagged = joined(tagged, placed, ["gid", "chunk"], "n", total).withColumn("home", F.coalesce("target", "home"))
     else:
         tagged = tagged.withColumn("target", F.lit(None).cast("int"))
     loose = F.when(F.col("target").isNotNull(), 0).when(F.col("chunk").isNotNull(), 1).otherwise(2)

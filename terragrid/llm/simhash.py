@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import near_copies
-from .common import batch_of, column, lower_words, per_text, table, written
+from .common import batch_of, column, few, joined, lower_words, per_text, table, written
 from .components import components
 
 #: Words of a shingle, hash seed, differing bits that link, fingerprints under one key above which no pairs are fetched.
@@ -100,24 +100,41 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> Data
     empty table gives none; other columns are ignored.
     """
     rows = written(fingerprints(docs, width), "fingerprints")
-    least = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    least = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "distinct")
     stars = components(hamming_links(least.select("fp"), hot))
-    rooted = least.join(stars.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = least.join(stars.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root"))
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(roots, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = written(rooted.join(roots, "root").select("fp", "copies", "component_id"), "classes")
+    return joined(rows, classes, ["fp"], "copies", rows.count()).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = near_copies.WIDTH) -> DataFrame:
-    """The documents that name their component of near copies, with all their columns: one of each group.
+    """One row of each group of near copies, with all its columns.
 
     Near copies are those of ``near_copies``, not fingerprints at BITS bits:
-    edited copies mostly lie farther apart.  Repeated rows of one doc_id leave
-    one row.  Rows with a null doc_id have no identity to compare and stay.
+    edited copies mostly lie farther apart.  The row of the smallest doc_id
+    stays (null ids last, then by a hash of all columns), whatever the order of
+    the input.  Ids do not identify rows: rows of one doc_id with texts that are
+    no copies of each other all stay.  Rows equal in all columns leave one.
+    Null texts and those without words are one group; an empty table gives no
+    rows.
     """
-    kept = near_copies.copies(docs, width).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    nulls = [c.isNull() for c in every]  # a hash skips nulls
+    key = F.array(F.xxhash64(*every, *nulls), F.xxhash64(F.lit(1), *reversed(every), *nulls))  # 128 bits
+    keyed = docs.select(*every, F.col("doc_id").cast("long").alias("__id"), key.alias("__row"))
+    rows, roots = near_copies.leaders(keyed.select(F.concat(F.array(F.col("__id").isNull().cast("long"), F.col("__id")), "__row").alias("row"), "text"), width)
+    # Rows are ordered as arrays: (id is null, id, hashes).  Both aggregates combine on the map side, so a hot set costs a row a task.
+    least = rows.groupBy("sid").agg(F.min("row").alias("row")).join(few(roots.select(F.col("node").alias("sid"), "root")), "sid", "left")
+    best = least.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("row").alias("row")).select("row", F.slice("row", 3, 2).alias("__row"))
+    best = written(best, "kept")
+    again = rows.select(F.slice("row", 3, 2).alias("__row")).join(few(best.select("__row")), "__row", "left_semi")
+    again = written(again.groupBy("__row").count().where("count > 1").select("__row"), "again")
+    kept = keyed.join(few(best.select("__row")), "__row", "left_semi")
+    if not again.isEmpty():
+        some = few(again)
+        kept = kept.join(some, "__row", "left_anti").unionByName(kept.join(some, "__row", "left_semi").dropDuplicates(["__row"]))  # rows of one key are equal
+    return kept.select(*every)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,11 +215,36 @@ def test_hamming_links_join_all_near_fingerprints(spark):
         assert classes((r.u, r.v) for r in simhash.hamming_links(df, hot).collect()) == want
 
 
-def test_dedup_keeps_one_of_each(spark, odd):
+def kept_by_brute_force(texts, width=5):
+    """Positions of one text of each component of 5-word Jaccard 0.8 or more (equal sets linked, no words one set); the first stays."""
+    words = [(x or "").encode().lower().split() for x in texts]
+    sets = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in words]
+    root = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return {i for i, r in enumerate(root) if i == r}
+
+
+def test_dedup_keeps_one_of_each(spark, odd, none):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
-    assert 3 in ids and 4 not in ids and 0 in ids and 1 not in ids and len(ids) == len(set(ids))
+    rows = sorted(odd.collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+    want = {(rows[i].doc_id, rows[i].text) for i in kept_by_brute_force([r.text for r in rows])}
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert simhash.one_of_each(none).count() == 0
+
+
+def test_dedup_goes_by_row_not_by_id(spark):
+    a, b = PROSE, "quite another text of more than five words that is no copy"
+    for order in ([(5, a), (5, b), (1, b)], [(1, b), (5, b), (5, a)], [(5, b), (1, b), (5, a), (5, a), (1, b)]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        assert sorted(map(tuple, simhash.one_of_each(docs).collect())) == [(1, b), (5, a)]
+    nulls = spark.createDataFrame([(None, a, "x", None), (None, a, None, "x"), (None, b, None, None)], "doc_id long, text string, lang string, source string")
+    assert sorted(r.text for r in simhash.one_of_each(nulls).collect()) == sorted([a, b])
 
 
 def test_dedup_finds_edited_copies(spark):
@@ -236,17 +261,40 @@ def test_dedup_finds_edited_copies(spark):
     frame = word(120)
     for _ in range(80):  # a large group of copies, and texts that share a part only
         texts += [" ".join(frame + word(3)), " ".join(frame[:40] + word(40)), " ".join(frame[:9] + word(1))]
+    for _ in range(60):  # copies of one text that are not all copies of each other
+        own = list(frame)
+        for i in rng.choice(120, 4, replace=False):
+            own[i] = word(1)[0]
+        texts.append(" ".join(own))
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == kept_by_brute_force(texts) and len(texts) - len(kept) > 12 * 3 + 70
+
+
+def test_rare_shingles_link_what_leaders_miss(spark):
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for k in range(30):  # all share a long passage; only neighbours in the chain are copies
+        own = list(base)
+        for j in range(k):
+            own[2 * j] = f"e{j}"
+        texts.append(" ".join(own))
+    texts += [" ".join([f"v{x}" for x in rng.integers(0, 999, 40)]) for _ in range(10)]
     sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
-    like = {(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = spark.createDataFrame([([i], x) for i, x in enumerate(texts)], "row array<long>, text string").coalesce(1)
     rows = near_copies.shingled(docs)
-    of = {r.sid: r.doc_id for r in rows.select("sid", "doc_id").orderBy("doc_id", ascending=False).collect()}
-    equal = {(i, j) for i, j in like if sets[i] == sets[j]}
-    assert {tuple(sorted((of[r.u], of[r.v]))) for r in near_copies.copy_links(rows).collect()} <= like - equal
-    kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
-    assert not any(i in kept and j in kept for i, j in like)
-    assert all(i in kept or any(i in pair for pair in like) for i in range(len(texts)))
-    assert sum(i not in kept for i in range(len(texts))) > 12 * 3 + 70
+    one_key = rows.selectExpr("row", "sid", "n", "if(keys is null, null, array(7L)) as keys", "sign", "shingles")  # all share one
+    of = {bytes(r.sid): r.row[0] for r in rows.collect()}
+    stars = [(of[bytes(r.root)], of[bytes(r.node)]) for r in near_copies.copy_roots(one_key).collect()]
+    like = {(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+
+    def classes(pairs):
+        root = list(range(len(texts)))
+        for i, j in pairs:
+            root = [root[i] if r == root[j] else r for r in root]
+        return {frozenset(k for k, r in enumerate(root) if r == x) for x in root}
+
+    assert classes(stars) == classes(like) and len(classes(like)) < len(texts) - 5
 
 
 def test_components(spark):
