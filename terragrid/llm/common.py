@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -86,6 +87,19 @@ def per_text(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterab
     return df.mapInArrow(run, schema)
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def runs(raw: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
+    """Parts of about ``size`` bytes of a text, cut at blanks: the words of a very long text are never all held at once."""
+    at = 0
+    while at < len(raw):
+        found = _BLANK.search(raw, at + size) if len(raw) - at > size else None
+        end = found.start() if found else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 def lower_words(text: str | None) -> list[bytes]:
     r"""Words ``[^\x20\x09-\x0D]+`` of a text with A-Z lower-cased, as UTF-8."""
     return text.encode().lower().split() if text else []

@@ -1,13 +1,16 @@
 r"""Benchmark decontamination by a distributed positional inverted index.
 
 The index is partitioned by document: each segment holds some documents and,
-for every term of the test vocabulary, the sorted list of its positions in the
-segment's word stream (documents stand GAP apart, so no phrase crosses two).
-Segments are stored in the shared folder and searched where they lie: of each
-phrase the rarest term's list is taken, shifted by the term's offset, and
-intersected with the shifted lists of the other terms, rarest first.  What is
-left are exact phrase matches.  Proximity matches keep candidates whose terms
-all occur within a given distance.
+for every word in them, the sorted list of its positions in the segment's word
+stream (documents stand GAP apart, so no phrase crosses two).  Segments are
+stored once in the shared folder, whatever is to be looked for, and are
+searched where they lie: of each phrase the rarest word's list is taken,
+shifted by the word's offset, and intersected with the shifted lists of the
+other words, rarest first.  What is left are exact phrase matches.  Proximity
+matches keep candidates whose words all occur within a given distance.
+
+Test items are searched in blocks of bounded size, all against that one index,
+and what the blocks find in a document is joined before it is counted.
 
 Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z.
 """
@@ -22,14 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_of, column, slices, table, written
+from ..shipping import ensure_shipped
+from .common import batch_of, column, few, runs, slices, table, written
 
 #: Words of a window; a document with hits is contaminated if RATIO * n_hit >= n_words.
 WINDOW, RATIO = 13, 20
 #: Empty positions between documents of a segment.
 GAP = 1024
-#: UTF-8 bytes of test texts searched at once; more are searched in blocks of this size.
-BLOCK_BYTES = 8 << 20
+#: UTF-8 bytes of test texts searched at once; more are searched in blocks of this size, and words of an item above which it is several rows.
+BLOCK_BYTES, PART_WORDS = 8 << 20, 1 << 17
 _KEPT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -64,79 +68,79 @@ class Phrases:
         self.item_of = of[:, 1]
 
 
-INDEX = pa.schema([
-    ("segment", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("start", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())),
-    ("term", pa.list_(pa.int32())), ("term_start", pa.list_(pa.int64())), ("position", pa.list_(pa.int32())),
-])
-INDEX_DDL = "segment long, doc_id array<long>, start array<long>, n_words array<long>, term array<int>, term_start array<long>, position array<int>"
+_LISTS = (("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("term", pa.binary()), ("term_start", pa.int64()), ("position", pa.int32()))
+INDEX = pa.schema([("segment", pa.int64()), *((k, pa.list_(t)) for k, t in _LISTS)])
+INDEX_DDL = "segment long, doc_id array<long>, key array<long>, start array<long>, n_words array<long>, term array<binary>, term_start array<long>, position array<int>"
 
 
-def postings(ids: list, texts: list[str | None], vocab: dict[bytes, int]) -> tuple:
-    """One segment: (doc ids, starts, word counts, terms, list starts, positions)."""
-    starts, lengths, found, at = [], [], [], 0
+def postings(texts: list[str | None]) -> tuple:
+    """One segment: (starts, word counts, terms, list starts, positions)."""
+    starts, lengths, found, at, vocab = [], [], [], 0, {}
     for text in texts:
-        own = words(text)
         starts.append(at)
-        lengths.append(len(own))
-        found += [np.fromiter((vocab.get(w, -1) for w in own), np.int32, len(own)), np.full(GAP, -1, np.int32)]
-        at += len(own) + GAP
+        for run in runs(text.encode().translate(_KEPT) if text else b""):
+            own = run.split()
+            found.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in own), np.int32, len(own)))
+            at += len(own)
+        lengths.append(at - starts[-1])
+        found.append(np.full(GAP, -1, np.int32))
+        at += GAP
     stream = np.concatenate(found)
     known = np.flatnonzero(stream >= 0).astype(np.int32)
     order = known[np.argsort(stream[known], kind="stable")]
-    term, first = np.unique(stream[order], return_index=True)
-    return ids, np.array(starts, np.int64), np.array(lengths, np.int64), term.astype(np.int32), np.append(first, len(order)), order
+    sizes = np.bincount(stream[known], minlength=len(vocab))
+    return np.array(starts, np.int64), np.array(lengths, np.int64), list(vocab), np.concatenate([[0], np.cumsum(sizes)]), order
 
 
-def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
-    """The stored index of ``docs`` over the terms of ``phrases``: one row per segment.
+def build_index(docs: DataFrame) -> DataFrame:
+    """The stored index of ``docs``: one row per segment, written to the shared folder.
 
     A segment is what a task reads at once (some MB of text); a longer text
-    forms its own.  Terms no phrase has get no list, since no search asks for
-    them.  Written to the shared folder.
+    forms its own.  A column ``key`` (long) is kept beside doc_id, if there.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(phrases.vocab)
+    key = F.col("key") if "key" in docs.columns else F.lit(None)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches):
-            yield batch_of(INDEX, [number], *([x] for x in postings(column(part, "doc_id"), column(part, "text"), sent.value)))
+            yield batch_of(INDEX, [number], *([x] for x in (column(part, "doc_id"), column(part, "key"), *postings(column(part, "text")))))
             number += 1
 
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX_DDL), "postings")
+    return written(docs.select(F.col("doc_id").cast("long"), key.cast("long").alias("key"), "text").mapInArrow(run, INDEX_DDL), "postings")
 
 
 class Segment:
     """One segment's posting lists, and searches over them."""
 
-    def __init__(self, doc_id: list, start: np.ndarray, n_words: np.ndarray, term: np.ndarray, term_start: np.ndarray, position: np.ndarray):
-        self.doc_id, self.start, self.n_words, self.term, self.term_start, self.position = doc_id, start, n_words, term, term_start, position
-        self.size = int(self.start[-1] + self.n_words[-1] + GAP) if len(self.start) else 0
+    def __init__(self, start: np.ndarray, n_words: np.ndarray, term: list[bytes], term_start: np.ndarray, position: np.ndarray):
+        self.start, self.n_words, self.term, self.term_start, self.position = start, n_words, term, term_start, position
+        self.at = {t: i for i, t in enumerate(term)}
+        self.size = int(start[-1] + n_words[-1] + GAP) if len(start) else 0
 
     @classmethod
     def stored(cls, batch: pa.RecordBatch, i: int) -> Segment:
         of = lambda name: batch.column(batch.schema.get_field_index(name))[i].values
-        return cls(of("doc_id").to_pylist(), *(of(k).to_numpy(zero_copy_only=False) for k in ("start", "n_words", "term", "term_start", "position")))
+        own = {k: of(k).to_numpy(zero_copy_only=False) for k in ("start", "n_words", "term_start", "position")}
+        return cls(own["start"], own["n_words"], of("term").to_pylist(), own["term_start"], own["position"])
 
-    def counts(self, n_terms: int) -> np.ndarray:
-        """Posting-list lengths by term."""
-        out = np.zeros(n_terms + 1, np.int64)  # the last: no term
-        out[self.term] = np.diff(self.term_start)
-        return out
+    def local(self, phrases: Phrases) -> np.ndarray:
+        """Where the terms of ``phrases`` are in this segment, -1 for what it does not have; the last: no term."""
+        return np.array([*(self.at.get(t, -1) for t in phrases.vocab), -1], np.int32)
 
     def search(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
         """(window, position) of every exact occurrence."""
-        n_terms, width = len(phrases.vocab), phrases.windows.shape[1]
+        width = phrases.windows.shape[1]
         if not len(phrases.windows) or not len(self.position):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        counts = self.counts(n_terms)
-        first = np.zeros(n_terms + 1, np.int64)
-        first[self.term] = self.term_start[:-1]
+        own = self.local(phrases)[phrases.windows]
+        sizes = np.append(np.diff(self.term_start), 0)  # the last: no term
+        first = self.term_start
         inside = np.arange(width) < phrases.length[:, None]
-        weight = np.where(inside, counts[phrases.windows], np.iinfo(np.int64).max)
+        weight = np.where(inside, sizes[own], np.iinfo(np.int64).max)
         alive = np.flatnonzero(weight.min(1) > 0)  # every term occurs
         rarest = np.argsort(weight[alive], axis=1, kind="stable")
         lists = np.full(self.size + width, -1, np.int32)  # which term's list a position is on
-        lists[self.position] = np.repeat(self.term, np.diff(self.term_start))
+        lists[self.position] = np.repeat(np.arange(len(self.term), dtype=np.int32), np.diff(self.term_start))
         out_w, out_p = [], []
         step = 1 << 20
         begin = 0
@@ -147,7 +151,7 @@ class Segment:
             stop = max(begin + 1, int(np.searchsorted(ends, base + step, "right")))
             rows, n = alive[begin:stop], sizes[begin:stop]
             offset = rarest[begin:stop, 0]
-            lead = phrases.windows[rows, offset]
+            lead = own[rows, offset]
             at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[lead], n)
             window, order = np.repeat(rows, n), np.repeat(np.arange(begin, stop), n)
             pos = self.position[at].astype(np.int64) - np.repeat(offset, n)
@@ -157,20 +161,19 @@ class Segment:
                 if not len(pos):
                     break
                 shift = rarest[order, j]
-                want = phrases.windows[window, shift]
-                ok = (lists[pos + shift] == want) | (want < 0)
+                ok = (lists[pos + shift] == own[window, shift]) | (shift >= phrases.length[window])
                 window, order, pos = window[ok], order[ok], pos[ok]
             out_w.append(window)
             out_p.append(pos)
             begin = stop
         return np.concatenate(out_w or [np.zeros(0, np.int64)]), np.concatenate(out_p or [np.zeros(0, np.int64)])
 
-    def postings_of(self, term: int) -> np.ndarray:
-        """One term's positions."""
-        k = int(np.searchsorted(self.term, term))
-        return self.position[self.term_start[k] : self.term_start[k + 1]] if k < len(self.term) and self.term[k] == term else np.zeros(0, np.int32)
+    def postings_of(self, term: bytes) -> np.ndarray:
+        """One word's positions."""
+        k = self.at.get(term)
+        return np.zeros(0, np.int32) if k is None else self.position[self.term_start[k] : self.term_start[k + 1]]
 
-    def near(self, terms: list[int], distance: int) -> list[int]:
+    def near(self, terms: list[bytes], distance: int) -> list[int]:
         """Positions of the rarest term (of equals, the lowest) around which all ``terms`` lie within ``distance`` words."""
         lists = sorted(map(self.postings_of, sorted(set(terms))), key=len)
         if not lists:
@@ -184,45 +187,62 @@ class Segment:
         """(window, position) of every proximity match of a window's terms."""
         if not len(phrases.windows) or not len(self.position):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        counts = self.counts(len(phrases.vocab))
-        inside = np.arange(phrases.windows.shape[1]) < phrases.length[:, None]
-        alive = np.flatnonzero(((counts[phrases.windows] > 0) | ~inside).all(1))
-        found = [self.near(phrases.windows[w, : phrases.length[w]].tolist(), distance) for w in alive]
+        vocab, inside = list(phrases.vocab), np.arange(phrases.windows.shape[1]) < phrases.length[:, None]
+        alive = np.flatnonzero(((self.local(phrases)[phrases.windows] >= 0) | ~inside).all(1))
+        found = [self.near([vocab[t] for t in phrases.windows[w, : phrases.length[w]]], distance) for w in alive]
         return np.repeat(alive, [len(x) for x in found]), np.array([p for x in found for p in x], np.int64)
 
     def doc_at(self, pos: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.start, pos, "right") - 1
 
 
-HIT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("items", pa.list_(pa.string()))])
+SPAN = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+HIT = pa.schema([("segment", pa.int64()), ("row", pa.int32()), ("spans", pa.list_(SPAN)), ("items", pa.list_(pa.string()))])
 
 
-def _judged(segment: Segment, phrases: Phrases) -> tuple:
+def _judged(segment: Segment, phrases: Phrases) -> list[tuple[int, list[dict], list[str]]]:
+    """(row, spans of words covered, items) of every document with hits."""
     window, pos = segment.search(phrases)
-    edges = np.zeros(segment.size + 1, np.int64)
-    np.add.at(edges, pos, 1)
-    np.add.at(edges, pos + phrases.length[window], -1)
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(edges)[:-1] > 0)]) if segment.size else np.zeros(1, np.int64)
-    n_hit = covered[segment.start + segment.n_words] - covered[segment.start]
-    pair = np.unique(segment.doc_at(pos) * max(1, len(phrases.windows)) + window)
-    items: list[set] = [set() for _ in segment.doc_id]
-    for doc, w in zip(pair // max(1, len(phrases.windows)), pair % max(1, len(phrases.windows)), strict=True):
-        items[doc].update(phrases.item_of[phrases.item_at[w] : phrases.item_at[w + 1]].tolist())
-    names = [sorted(phrases.items[k] for k in x) for x in items]
-    digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]
-    return segment.doc_id, segment.n_words.tolist(), n_hit.tolist(), [len(x) for x in names], digests, names
-
-
-def searched(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """The hits of every document of a stored index."""
-    sent = index.sparkSession.sparkContext.broadcast(phrases)
+    if not len(pos):
+        return []
+    edges = np.zeros(segment.size + 2, np.int64)
+    np.add.at(edges, pos + 1, 1)
+    np.add.at(edges, pos + 1 + phrases.length[window], -1)
+    inside = np.diff((np.cumsum(edges) > 0).astype(np.int8))
+    begin, end = np.flatnonzero(inside > 0), np.flatnonzero(inside < 0)
+    of_span = segment.doc_at(begin)
+    rows, first = np.unique(of_span, return_index=True)
+    doc = segment.doc_at(pos)
+    items: dict[int, set] = {}
+    for d, w in set(zip(doc.tolist(), window.tolist(), strict=True)):
+        items.setdefault(d, set()).update(phrases.item_of[phrases.item_at[w] : phrases.item_at[w + 1]].tolist())
+    out = []
+    for row, a, b in zip(rows.tolist(), first, [*first[1:], len(begin)], strict=True):
+        spans = [{"a": int(x), "b": int(y)} for x, y in zip(begin[a:b], end[a:b], strict=True)]
+        out.append((row, spans, sorted({phrases.items[k] for k in items[row]})))
+    return out
+
+
+def searched(index: DataFrame, benchmark: DataFrame, width: int, block_bytes: int) -> DataFrame:
+    """(doc_id, key, n_words, n_hit, n_items, items) of every document of a stored index; items: their ids, sorted and comma-joined."""
+    found = None
+    for part in blocks(benchmark, width, block_bytes):
+        sent = index.sparkSession.sparkContext.broadcast(Phrases(items_of(part), width))
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):  # a row is a whole segment
-                yield batch_of(HIT, *_judged(Segment.stored(batch, i), sent.value))
+        def run(batches, sent=sent):
+            for batch in batches:
+                for i in range(batch.num_rows):  # a row is a whole segment
+                    if out := _judged(Segment.stored(batch, i), sent.value):
+                        yield batch_of(HIT, [batch.column(0)[i].as_py()] * len(out), *zip(*out, strict=True))
 
-    return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>")
+        one = index.mapInArrow(run, "segment long, row int, spans array<struct<a: long, b: long>>, items array<string>")
+        found = one if found is None else found.unionByName(one)
+    every = written(found, "hits").groupBy("segment", "row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    covered = F.expr("aggregate(spans, named_struct('n', 0L, 'last', -1L), (s, x) -> named_struct('n', s.n + greatest(0L, x.b - greatest(x.a, s.last)), 'last', greatest(s.last, x.b))).n")
+    hits = written(every.select("segment", "row", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items")), "hits")
+    rows = index.select("segment", F.posexplode(F.arrays_zip("doc_id", "key", "n_words")).alias("row", "of")).select("segment", "row", "of.*")
+    zero = F.lit(0).cast("long")
+    return rows.join(hits, ["segment", "row"], "left").select("doc_id", "key", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.lit("")).alias("items"))
 
 
 MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("at", pa.int64()), ("length", pa.int64()), ("exact", pa.bool_())])
@@ -239,20 +259,20 @@ def occurrences(index: DataFrame, phrases: Phrases, distance: int | None = None)
         raise ValueError(f"distance must be from 0 to {GAP - 1}")
     sent = index.sparkSession.sparkContext.broadcast(phrases)
 
-    def rows(segment: Segment, own: Phrases, window: np.ndarray, pos: np.ndarray, exact: bool) -> list[tuple]:
+    def rows(ids: list, segment: Segment, own: Phrases, window: np.ndarray, pos: np.ndarray, exact: bool) -> list[tuple]:
         doc, out = segment.doc_at(pos), set()
         for d, p, w in zip(doc.tolist(), pos.tolist(), window.tolist(), strict=True):
             for k in own.item_of[own.item_at[w] : own.item_at[w + 1]].tolist():
                 out.add((d, p - int(segment.start[d]), int(own.length[w]) if exact else 1, own.items[k]))
-        return [(segment.doc_id[d], item, at, n, exact) for d, at, n, item in sorted(out)]
+        return [(ids[d], item, at, n, exact) for d, at, n, item in sorted(out)]
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):  # a row is a whole segment
-                segment = Segment.stored(batch, i)
-                out = rows(segment, sent.value, *segment.search(sent.value), True)
+                segment, ids = Segment.stored(batch, i), batch.column(batch.schema.get_field_index("doc_id"))[i].as_py()
+                out = rows(ids, segment, sent.value, *segment.search(sent.value), True)
                 if distance is not None:
-                    out += rows(segment, sent.value, *segment.near_windows(sent.value, distance), False)
+                    out += rows(ids, segment, sent.value, *segment.near_windows(sent.value, distance), False)
                 if out:
                     yield batch_of(MATCH, *zip(*out, strict=True))
 
@@ -265,24 +285,50 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, distance
     Texts without words and items without an id match nothing; a null doc_id
     stays null; repeated rows match each; empty tables give no rows.
     """
-    found = None
-    for part in blocks(benchmark, block_bytes):
-        phrases = Phrases(items_of(part), width)
-        one = occurrences(build_index(docs, phrases), phrases, distance)
+    ensure_shipped(docs.sparkSession)
+    found, index = None, build_index(docs)
+    for part in blocks(benchmark, width, block_bytes):
+        one = occurrences(index, Phrases(items_of(part), width), distance)
         found = one if found is None else found.unionByName(one)
-    return found
+    return found.distinct() if found is not None else None
+
+
+PARTS = pa.schema([("item_id", pa.string()), ("part", pa.int64()), ("text", pa.string())])
+
 
+def blocks(benchmark: DataFrame, width: int, most: int) -> list[DataFrame]:
+    """The test items in blocks of about ``most`` bytes at most.
 
-def blocks(benchmark: DataFrame, most: int) -> list[DataFrame]:
-    """The test items in parts by a hash of their ids, each of about ``most`` bytes at most."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+    An item of more than PART_WORDS words is several rows, each with the last
+    ``width`` - 1 words of the one before, so that together they have its
+    windows; many rows of one item_id are dealt out as well.
+    """
+
+    def cut(batches):
+        step = max(1, PART_WORDS - width + 1)
+        for batch in slices(batches):
+            out = []
+            for item, text in zip(column(batch, "item_id"), column(batch, "text"), strict=True):
+                own = words(text)
+                for at in range(0, max(1, len(own) - width + 1), step) if own else ():
+                    out.append((item, at, b" ".join(own[at : at + max(PART_WORDS, width)]).decode()))
+            if out:
+                yield batch_of(PARTS, *zip(*out, strict=True))
+
+    named = benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null")
+    parts = written(named.mapInArrow(cut, "item_id string, part long, text string"), "items")
+    size = parts.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     n = 1 if size <= most else 2 * -(-size // most)
-    return [benchmark.where(F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(n)) == k) for k in range(n)] if n > 1 else [benchmark]
+    return [parts.where(F.pmod(F.xxhash64("item_id", "part", "text"), F.lit(n)) == k) for k in range(n)]
 
 
 def items_of(block: DataFrame) -> list[tuple[str, str | None]]:
     """The items of a block, whose size blocks() has bounded; of repeated ids all texts count."""
-    return [(r.item_id, r.text) for r in block.select(F.col("item_id").cast("string"), "text").where("item_id is not null").collect()]
+    return [(r.item_id, r.text) for r in block.select("item_id", "text").distinct().collect()]
+
+
+def _verdict(ratio: int):
+    return (F.col("n_hit") > 0) & (ratio * F.col("n_hit") >= F.col("n_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ratio: int = RATIO, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -292,56 +338,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ra
     null doc_id stays null; repeated rows are judged each; of test rows with
     one item_id all texts count as that item; a row with a null item_id or
     without words is never found; an empty table gives no rows, or no hits.
-    Other columns are ignored.  Test sets above ``block_bytes`` are searched in
-    blocks, each against all documents.
+    Other columns are ignored.  ``block_bytes`` bounds what is searched for at
+    once and never changes a result.
     """
-    parts = blocks(benchmark, block_bytes)
-    if len(parts) == 1:
-        phrases = Phrases(items_of(benchmark), width)
-        hits = searched(build_index(docs, phrases), phrases)
-    else:
-        hits = _in_blocks(docs, parts, width)
-    return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (ratio * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
-
-
-def _in_blocks(docs: DataFrame, parts: list[DataFrame], width: int) -> DataFrame:
-    """Hits over several blocks: covered positions and items of each row are joined before they are counted."""
-    keyed = written(docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").cast("long").alias("id"), "text"), "keyed")
-    found = None
-    for part in parts:
-        phrases = Phrases(items_of(part), width)
-        one = occurrences(build_index(keyed, phrases), phrases)
-        found = one if found is None else found.unionByName(one)
-    found = written(found, "hits")
-    covered = found.select("doc_id", F.explode(F.expr("sequence(at, at + length - 1)")).alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = found.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
-    count = Phrases([], width)
-    sizes = searched(build_index(keyed, count), count).select("doc_id", "n_words")
-    return (
-        keyed.select("doc_id", "id").join(sizes, "doc_id").join(covered, "doc_id", "left").join(items, "doc_id", "left")
-        .select(F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    )
+    ensure_shipped(docs.sparkSession)
+    hits = searched(build_index(docs.select("doc_id", "text")), benchmark, width, block_bytes)
+    return hits.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), _verdict(ratio).alias("contaminated"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ratio: int = RATIO, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows whose documents are not contaminated, with all their columns.
 
-    Each task indexes and searches the rows it reads, so the verdict takes
-    effect in place.  Only with test sets above ``block_bytes`` are verdicts
-    joined back, and there a row with a null doc_id stays.
+    The verdict is one on a text, and rows go by their texts (a 128-bit hash),
+    not by their ids: null and repeated ids change nothing.  Null and empty
+    texts stay; repeated rows stay or go together; an empty table gives no
+    rows; with an empty benchmark all rows stay.
     """
-    parts = blocks(benchmark, block_bytes)
-    if len(parts) > 1:
-        bad = decontaminate(docs, benchmark, width, ratio, block_bytes).where("contaminated").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
-    sent = docs.sparkSession.sparkContext.broadcast(Phrases(items_of(benchmark), width))
-
-    def run(batches):
-        for part in slices(batches):
-            _, n_words, n_hit, *_ = _judged(Segment(*postings([None] * part.num_rows, column(part, "text"), sent.value.vocab)), sent.value)
-            yield part.filter(pa.array([not (h and ratio * h >= n) for n, h in zip(n_words, n_hit, strict=True)], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    ensure_shipped(docs.sparkSession)
+    text = F.col("text")
+    hashes = (F.xxhash64(text), F.xxhash64(F.lit(1), text))
+    index = build_index(docs.select(hashes[0].alias("doc_id"), hashes[1].alias("key"), text))
+    bad = searched(index, benchmark, width, block_bytes).where(_verdict(ratio)).select(F.col("doc_id").alias("__a"), F.col("key").alias("__b")).distinct()
+    bad = few(written(bad, "contaminated"))
+    return docs.join(bad, (hashes[0] == F.col("__a")) & (hashes[1] == F.col("__b")), "left_anti")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
