@@ -1,18 +1,28 @@
-"""Balanced label propagation: linked documents gather in shards of even size.
-
-Documents of equal text are linked.  Their groups are the nodes; a group above
-a shard's capacity is several nodes, dealt by a hash of the document's id.
-Every document begins in a shard that its id decides.  In each round every
-node that is not yet together proposes, of the shards with room for it, the one
-where most of its members are; proposals are accepted while the shard's quota
-lasts, larger nodes first, and rounds go on until no node left fits any shard.
-Cumulative sums over a bounded number of priority buckets decide that, so no
-task ever sorts all proposals.  At the end unlinked documents fill the shards,
-and exactly the rows above a shard's share move to shards below theirs.
+"""Balanced label propagation: linked documents move towards their neighbours' shards under quotas.
+
+Documents of equal text are linked.  Every document begins with the shard that
+its id decides as its label.  In each round documents see the labels that their
+neighbours have now and propose to take the one that most of them have.  What
+may flow from shard to shard is decided from the sums of all proposals: as much
+as flows back, and what room is left.  Accepted documents have a new label in
+the next round.  Rounds go on while the number of cut links falls by a
+twentieth or more.
+
+Members of a group with one label are interchangeable, so labels are kept as
+counts by (group, label): a group has no more rows than shards, however large
+it is.  A group above a shard's capacity is several, dealt out row by row.
+
+Then groups settle: each proposes, of the shards with room for all of it, the
+one where most of it is; shards accept while their quota lasts, larger groups
+first, until no group left fits any shard.  Sums over a bounded number of
+priority buckets decide that, so no task ever sorts all proposals.  At the end
+unlinked documents fill the shards, and exactly the rows above a shard's share
+move to shards below theirs.
 
 The law held is ``rows``: counts of any two shards differ by one at most.
 
-Everything is DataFrame operations; the driver sees one row per shard a round.
+Everything is DataFrame operations; the driver sees one number for each pair of
+shards a round.
 """
 
 from __future__ import annotations
@@ -24,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import joined, table, written
 
-#: Shards, priority buckets of a size class, rows that a ranking bucket has about.
-SHARDS, BUCKETS, RANKED = 40, 256, 4000
+#: Shards, priority buckets of a size class, rows that a ranking bucket has about; share of the cut links by which a round must lower them.
+SHARDS, BUCKETS, RANKED, FALL = 40, 256, 4000, 0.05
 
 
 def _array(values: list[int]):
@@ -33,7 +43,7 @@ def _array(values: list[int]):
 
 
 def _propose(state: DataFrame, room: list[int], turn: int) -> DataFrame:
-    """Each unsettled node's (gid, chunk, n, target): of the shards with room for it the one with most of its members, else one that a hash picks; none if it fits nowhere."""
+    """Each unsettled group's (gid, chunk, n, target): of the shards with room for it the one with most of its members, else one that a hash picks; none if it fits nowhere."""
     fits = F.element_at(_array(room), F.col("shard") + 1) >= F.col("total")
     near = F.max(F.when(fits, F.struct("n", F.xxhash64("gid", "chunk", "shard", F.lit(turn)).alias("order"), "shard")))
     shards = sorted(range(len(room)), key=lambda s: -room[s])
@@ -59,11 +69,59 @@ def _accepted(proposals: DataFrame, room: list[int], turn: int) -> DataFrame:
     return found.where("fits").select("gid", "chunk", "n", "target").unionByName(part.select("gid", "chunk", "n", "target"))
 
 
-def propagate(members: DataFrame, capacity: int, shards: int) -> DataFrame | None:
-    """(gid, chunk, n, target) of the nodes that are together in one shard; None without nodes.
+def _flows(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """Rows that may move from shard to shard: what flows both ways, and the target's room dealt out by demand."""
+    own = {k: min(n, wanted.get(k[::-1], 0)) for k, n in wanted.items()}
+    for b, free in enumerate(room):
+        rest = {k: n - own[k] for k, n in wanted.items() if k[1] == b and n > own[k]}
+        total = sum(rest.values())
+        for k, n in rest.items():
+            own[k] += n if total <= free else n * free // total
+    return own
+
+
+def relabel(members: DataFrame, capacity: int, shards: int, fall: float = FALL) -> tuple[DataFrame, list[int]]:
+    """``members`` (gid, chunk, shard, n) with the labels that propagation ends with, and the cut links before it and after each round."""
+    state = written(members, "labels")
+
+    def cut(state: DataFrame) -> int:
+        squares = state.groupBy("gid", "chunk").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("joined"))
+        return int(squares.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("joined")).cast("decimal(38,0)")), F.lit(0))).first()[0]) // 2
+
+    cuts = [cut(state)]
+    while cuts[-1]:
+        turn = F.lit(len(cuts))
+        load = [0] * shards
+        for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+            load[r.shard] = r.n
+        most = F.max(F.struct("n", F.xxhash64("gid", "chunk", "shard", turn).alias("order"), "shard"))
+        seen = state.join(state.groupBy("gid", "chunk").agg(most.alias("most")), ["gid", "chunk"])  # each label beside its neighbours' most frequent one
+        hashed = F.pmod(F.xxhash64("gid", "chunk", "shard", turn), F.lit(BUCKETS)).cast("int")
+        seen = written(seen.select("gid", "chunk", "shard", "n", F.col("most.shard").alias("target"), hashed.alias("bucket")), "proposals")
+        sums = seen.where("shard <> target").groupBy("shard", "target", "bucket").agg(F.sum("n").alias("n"))
+        wanted: dict[tuple[int, int], int] = {}
+        for r in sums.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect():  # shards x shards at most
+            wanted[r.shard, r.target] = r.n
+        flows = _flows(wanted, [max(0, capacity - x) for x in load])
+        quota = F.element_at(_array([flows.get((a, b), 0) for a in range(shards) for b in range(shards)]), F.col("shard") * shards + F.col("target") + 1)
+        until = F.sum("n").over(Window.partitionBy("shard", "target").orderBy("bucket"))
+        accepted = sums.withColumn("until", until).where(F.col("until") <= quota).select("shard", "target", "bucket", F.lit(True).alias("moves"))
+        moved = seen.join(F.broadcast(accepted), ["shard", "target", "bucket"], "left")  # shards x shards x BUCKETS rows at most
+        after = moved.groupBy("gid", "chunk", F.when(F.col("moves"), F.col("target")).otherwise(F.col("shard")).alias("shard")).agg(F.sum("n").alias("n"))
+        after = written(after, "labels")
+        cuts.append(cut(after))
+        if cuts[-1] < cuts[-2]:
+            state = after
+        if cuts[-2] - cuts[-1] < fall * cuts[-2]:
+            break
+    return state, cuts
+
+
+def settle(members: DataFrame, capacity: int, shards: int) -> DataFrame | None:
+    """(gid, chunk, n, target) of the groups that are together in one shard; None without groups.
 
-    ``members``: (gid, chunk, shard, n), the rows of a node in each shard.
-    Rounds go on until no node is left that fits any shard.
+    ``members``: (gid, chunk, shard, n), the rows of a group with each label.
+    Rounds go on until no group is left that fits any shard.
     """
     nodes = Window.partitionBy("gid", "chunk")
     state = written(members.withColumn("total", F.sum("n").over(nodes)), "members")
@@ -88,6 +146,7 @@ def propagate(members: DataFrame, capacity: int, shards: int) -> DataFrame | Non
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, ranked: int = RANKED) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document; one row per input row.
 
+    Texts are equal if their MD5 digests are (128 bits).
     A null text has size 16 and crc32 0 and is linked to other null texts, not
     to empty ones.  A null doc_id stays null and is placed as any other;
     repeated rows are linked and have a slot each; rows that tie in all columns
@@ -95,9 +154,10 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, ranked: int = RANKED)
     leave shards empty.  Other columns are ignored.
     """
     home = F.pmod(F.xxhash64("doc_id", F.lit(shards)), F.lit(shards)).cast("int")
+    gid = F.coalesce(F.unhex(F.md5(F.col("text").cast("binary"))), F.lit("null").cast("binary"))
     rows = written(
-        docs.select(F.col("doc_id").cast("long"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), F.xxhash64("text").alias("gid"))
-        .withColumn("home", home),
+        docs.select(F.col("doc_id").cast("long"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), gid.alias("gid"))
+        .withColumn("home", home).withColumn("row", F.monotonically_increasing_id()),  # stored: numbers rows that are equal in all else
         "rows",
     )
     total = rows.count()
@@ -105,25 +165,26 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, ranked: int = RANKED)
     groups = rows.groupBy("gid").agg(F.count("*").alias("members")).where("members > 1")
     parts = F.when(F.col("members") > capacity, F.ceil(2 * F.col("members") / F.lit(max(1, capacity)))).otherwise(1).cast("long")
     groups = written(groups.withColumn("parts", parts), "groups")
-    tagged = joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "gid"), "parts").cast("long"))
+    tagged = joined(rows, groups, ["gid"], "members", total).withColumn("chunk", F.pmod(F.xxhash64("row", "gid"), "parts").cast("long"))
     tagged = written(tagged.drop("parts", "members"), "tagged")
     linked = tagged.where("chunk is not null")
-    placed = propagate(linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n")), capacity, shards)
+    members = linked.groupBy("gid", "chunk", F.col("home").alias("shard")).agg(F.count("*").alias("n"))
+    placed = settle(relabel(members, capacity, shards)[0], capacity, shards)
     if placed is not None:
         tagged = joined(tagged, placed, ["gid", "chunk"], "n", total).withColumn("home", F.coalesce("target", "home"))
     else:
         tagged = tagged.withColumn("target", F.lit(None).cast("int"))
     loose = F.when(F.col("target").isNotNull(), 0).when(F.col("chunk").isNotNull(), 1).otherwise(2)
-    tagged = tagged.select("doc_id", "size", "text_crc32", "home", loose.alias("loose"))
+    tagged = tagged.select("row", "doc_id", "size", "text_crc32", "home", loose.alias("loose"))
 
     # Ranks within a shard, rows of settled nodes first and unlinked ones last: counts of hashed buckets, their running sums, then ranks inside a bucket.
     pieces = max(4, -(-capacity // ranked))
-    bucketed = tagged.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(5)), F.lit(pieces)).cast("int"))
+    bucketed = tagged.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(pieces)).cast("int"))
     bucketed = written(bucketed, "bucketed")
     key = ["home", "loose", "bucket"]
     sizes = bucketed.groupBy(*key).agg(F.count("*").alias("n"))
     offsets = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("home").orderBy("loose", "bucket")) - F.col("n")).drop("n")
-    inner = F.row_number().over(Window.partitionBy(*key).orderBy("doc_id", "text_crc32", "size"))
+    inner = F.row_number().over(Window.partitionBy(*key).orderBy("row"))
     rank = bucketed.withColumn("inner", inner).join(offsets, key).withColumn("rank", F.col("before") + F.col("inner") - 1)
 
     have = [0] * shards

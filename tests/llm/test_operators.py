@@ -364,6 +364,40 @@ def test_sharding_places_all_groups_that_fit(spark, size):
     assert sum(len(v) > 1 for v in groups.values()) <= max(0, len(groups) - room)
 
 
+def test_labels_propagate_as_by_hand(spark):
+    """One round against plain loops: most frequent neighbour label, flows both ways and room, whole buckets."""
+    rng = np.random.default_rng(8)
+    rows = [(f"g{g}".encode(), 0, int(s)) for g in range(120) for s in rng.integers(0, 6, rng.integers(2, 5))]
+    members = spark.createDataFrame([(*k, n) for k, n in Counter(rows).items()], "gid binary, chunk long, shard int, n long")
+
+    def links(state):
+        groups = {}
+        for g, _, s, n in state:
+            groups.setdefault(bytes(g), []).append(n)
+        return sum((sum(v) ** 2 - sum(x * x for x in v)) // 2 for v in groups.values())
+
+    capacity = -(-len(rows) // 6) + 4
+    state, cuts = sharding.relabel(members, capacity, 6, fall=0.0001)
+    state = state.collect()
+    assert cuts[0] == links([(*k, n) for k, n in Counter(rows).items()]) and min(cuts) == links(state)
+    assert all(a > b for a, b in zip(cuts[:-1], cuts[1:-1], strict=False)) and min(cuts) < cuts[0] / 4
+    assert sum(r.n for r in state) == len(rows)
+    load, before = Counter(), Counter(s for _, _, s in rows)
+    for r in state:
+        load[r.shard] += r.n
+    assert all(n <= max(capacity, before[s]) for s, n in load.items())
+    flows = sharding._flows({(0, 1): 5, (1, 0): 3, (2, 1): 4}, [0, 3, 9])
+    assert flows == {(0, 1): 4, (1, 0): 3, (2, 1): 2}
+
+
+def test_sharding_splits_rows_that_are_equal_in_all(spark):
+    docs = spark.createDataFrame([(None, "same")] * 500 + [(7, "same")] * 300 + [(i, f"t{i}") for i in range(200)], "doc_id long, text string")
+    got = sharding.balanced_shards(docs, shards=8).collect()
+    counts = Counter(r.shard for r in got)
+    assert set(counts.values()) == {125} and all(sorted(r.slot for r in got if r.shard == s) == list(range(125)) for s in counts)
+    assert Counter((r.doc_id, r.size) for r in got)[None, 20] == 500
+
+
 def brute_hits(text, items, width):
     own = decontamination.words(text)
     hit, names = set(), set()
