@@ -2,9 +2,15 @@
 
 Hosts run words together ("freebets").  A unigram Viterbi search splits each
 run of letters into its most probable words; the words of host and path are
-then scored by multinomial naive Bayes.  Its labels are distant: an address
-that a rule decides has the rule's class, and of the rest one with a listed
-spam word among its words is blocked, the others allowed.
+then scored by multinomial naive Bayes, with the prior of its classes.  There
+are no labels by hand: a page that a rule decides has the rule's class, and of
+the rest one with a listed spam word among its words is blocked, the others
+allowed.  What is learned goes beyond that list: words that keep company with
+blocked pages weigh against a page that has no listed word.
+
+The word model comes from separated words: those of all paths, and the parts of
+host labels between dots and hyphens, once a host.  A part that occurs in hosts
+alone and that known words make up is a joined name, not a word.
 """
 
 from __future__ import annotations
@@ -12,6 +18,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ensure_shipped
 from .common import batch_of, column, per_text, table
 
 #: (verdict, host, path) of the rules.
@@ -26,8 +34,8 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 #: Words that mark spam for training, and everyday words that give the word model a base.
 SPAM = ("casino", "pills", "pill", "bets", "bet", "spam", "porn", "poker", "viagra", "loans", "ads", "track", "tracker", "cheap", "free", "xxx", "adult", "lottery", "farm", "clicks")
 PLAIN = ("the", "and", "of", "in", "on", "to", "for", "news", "blog", "shop", "www", "mail", "page", "home", "web", "site", "my", "best", "online", "world", "data", "info", "forum", "wiki", "photo", "music", "book", "game", "travel", "food", "health", "school", "city", "art", "tech")
-#: Most frequent words in the dictionary (a size bound of the broadcast model), its longest word, buckets of hashed word features.
-DICTIONARY, LONGEST, FEATURES = 50_000, 20, 1 << 16
+#: Most frequent words in the dictionary (a size bound of the broadcast model; rarer ones are cut as unknown), its longest word, shortest word that a joined name is made of, buckets of hashed word features.
+DICTIONARY, LONGEST, PART, FEATURES = 200_000, 32, 3, 1 << 16
 #: Prior counts of listed words, and the smoothing of naive Bayes.
 LISTED, SMOOTH = 50, 1.0
 #: Labels that are part of the public suffix before a country's.
@@ -62,7 +70,11 @@ class WordModel:
         total = sum(counts.values()) + 1
         self.cost = {w: math.log(total / c) for w, c in counts.items()}
         self.unknown = math.log(total) + 3
-        self.split = functools.lru_cache(50_000)(self._split)
+        self._kept = functools.lru_cache(50_000)(self._split)
+
+    def split(self, run: str) -> tuple[str, ...]:
+        """The words of a run of letters; those of runs of ordinary length are remembered."""
+        return self._kept(run) if len(run) <= 64 else self._split(run)
 
     def __reduce__(self):
         return _rebuilt, (self.cost, self.unknown)
@@ -91,8 +103,8 @@ def _rebuilt(cost: dict, unknown: float) -> WordModel:
 
 
 def runs(text: str) -> list[str]:
-    """Runs of letters, lower-cased, in parts of bounded length."""
-    return [r[i : i + 256] for r in _RUN.findall(text.lower()) for i in range(0, len(r), 256)]
+    """Runs of letters, lower-cased."""
+    return _RUN.findall(text.lower())
 
 
 def names(host: str) -> str:
@@ -115,7 +127,7 @@ class Bayes:
     """Multinomial naive Bayes over hashed words: a table of fixed size, whatever the vocabulary."""
 
     def __init__(self, counts: np.ndarray, docs: np.ndarray):
-        self.prior = 0.0 if docs.all() else math.log((docs[1] + 1) / (docs[0] + 1))  # distant labels tell words apart, not how common a class is
+        self.prior = math.log((docs[1] + 1) / (docs[0] + 1))
         p = (counts + SMOOTH) / (counts.sum(1, keepdims=True) + SMOOTH * FEATURES)
         self.weight = np.log(p[1] / p[0]).astype(np.float32)
 
@@ -125,43 +137,55 @@ class Bayes:
 
 
 def distant_label(host: str, path: str, features: list[str]) -> int:
-    """1 to block, 0 to allow."""
+    """1 to block, 0 to allow: a rule's verdict, else whether a listed word is there."""
     verdict = rule_of(host, path)[1]
-    spam = any(x[2:] in SPAM for x in features)
-    return int(spam) if verdict is None else int(spam or (verdict == "block" and not features))
+    return int(any(x[2:] in SPAM for x in features)) if verdict is None else int(verdict == "block")
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n) of all letter runs in hosts and paths of all pages."""
+    """(word, n, own) of the letter runs of all paths, and of all distinct hosts; own: whether a path has the word."""
 
-    def make():
+    def hosts():
         def step(batch):
-            seen: dict[str, int] = {}
-            for url in column(batch, "url"):
-                for r in (x for part in host_and_path(url) for x in runs(part)):
-                    if 2 <= len(r) <= LONGEST:
-                        seen[r] = seen.get(r, 0) + 1
-            yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            yield pa.RecordBatch.from_pydict({"host": pa.array(sorted({host_and_path(x)[0] for x in column(batch, "url")}), pa.string())})
 
         return step
 
-    return per_text(pages.select("url"), make, "word string, n long", "url").groupBy("word").agg(F.sum("n").alias("n"))
+    def counted(of, own):
+        def make():
+            def step(batch):
+                seen = Counter(r for x in column(batch, batch.schema.names[0]) for r in runs(of(x)) if 2 <= len(r) <= LONGEST)
+                yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64()), "own": pa.array([own] * len(seen), pa.int32())})
+
+            return step
+
+        return make
+
+    schema = "word string, n long, own int"
+    distinct = per_text(pages.select("url"), hosts, "host string", "url").distinct()
+    found = per_text(distinct, counted(names, 0), schema, "host").unionByName(per_text(pages.select("url"), counted(lambda x: host_and_path(x)[1], 1), schema, "url"))
+    return found.groupBy("word").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
+
+
+def word_model(pages: DataFrame, dictionary: int = DICTIONARY) -> WordModel:
+    """Word probabilities from the ``dictionary`` most frequent words of all pages."""
+    found = word_counts(pages).orderBy(F.desc("n"), "word").limit(dictionary).collect()
+    listed = (*SPAM, *PLAIN)
+    counts = {r.word: r.n for r in found if r.own}
+    for w in listed:
+        counts[w] = counts.get(w, 0) + LISTED
+    known = WordModel(counts)
+    for r in found:
+        parts = () if r.own or r.word in listed else known.split(r.word)
+        if not r.own and not (len(parts) > 1 and all(len(x) >= PART and x in known.cost for x in parts)):
+            counts[r.word] = counts.get(r.word, 0) + r.n
+    return WordModel(counts)
 
 
 def learn(pages: DataFrame, dictionary: int = DICTIONARY) -> tuple[WordModel, Bayes]:
-    """Both models, from all pages.  The dictionary holds the most frequent words, the feature table a fixed number of buckets."""
+    """Both models, from all pages.  The dictionary has a bounded number of words, the feature table a fixed number of buckets."""
     context = pages.sparkSession.sparkContext
-    counts = {r.word: r.n for r in word_counts(pages).orderBy(F.desc("n"), "word").limit(dictionary).collect()}
-    for w in (*SPAM, *PLAIN):
-        counts[w] = counts.get(w, 0) + LISTED
-    words = WordModel(counts)
-    # A run that splits into listed words for less is no word of its own.
-    for w in [w for w in counts if w not in SPAM and w not in PLAIN]:
-        own = words.cost.pop(w)
-        parts = words._split(w)
-        if len(parts) > 1 and all(x in SPAM or x in PLAIN for x in parts):
-            continue
-        words.cost[w] = own
+    words = word_model(pages, dictionary)
     sent = context.broadcast(words)
 
     def make():
@@ -198,9 +222,9 @@ def url_verdicts(pages: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
     A null url or one without ``://`` has an empty host and path, fits no rule
     and is judged by the prior alone.  A null page_id stays null; repeated rows
     are judged each; margins of exactly zero allow; an empty table gives no
-    rows.  Other columns are ignored.  Very long urls are split into words in
-    runs of bounded length.
+    rows.  Other columns are ignored.  Very long urls are split whole.
     """
+    ensure_shipped(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(learn(pages, dictionary))
 
     def make():

@@ -517,9 +517,32 @@ def test_viterbi_finds_the_best_split():
     assert list(model.split(word)) == ["free", "bets"] and abs(cost(model.split(word)) - min(map(cost, every))) < 1e-9
 
 
+def test_margins_equal_naive_bayes_by_hand(spark):
+    hosts = ["www.cheappills.com", "blog.goldwatch.com", "m.schoolnews.info", "www.gardentips.info", "x.example.net"]
+    paths = ["/gold/watch/pills", "/garden/tips/", "/school/news", "/casino/watch", ""]
+    urls = [f"http://{h}{p}?q" for h in hosts for p in paths] * 2 + [None, "nothing", "http://www.goldwatch.com/gold/watch"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    words = url_filter.word_model(pages)
+    assert words.split("goldwatch") == ("gold", "watch") and words.split("gardentips") == ("garden", "tips")
+    parts = [url_filter.host_and_path(u) for u in urls]
+    features = [url_filter.tokens(h, p, words) for h, p in parts]
+    label = [url_filter.distant_label(h, p, x) for (h, p), x in zip(parts, features, strict=True)]
+    n = [Counter(url_filter.buckets([w for x, y in zip(features, label, strict=True) if y == c for w in x])) for c in (0, 1)]
+
+    def margin(x):
+        p = [[(n[c][b] + 1) / (sum(n[c].values()) + url_filter.FEATURES) for b in url_filter.buckets(x)] for c in (0, 1)]
+        return math.log((sum(label) + 1) / (len(label) - sum(label) + 1)) + sum(math.log(b / a) for a, b in zip(*p, strict=True))
+
+    got = {r.page_id: r for r in url_filter.url_verdicts(pages).collect()}
+    assert all(abs(got[i].margin - margin(x)) < 1e-4 for i, x in enumerate(features))
+    assert all(got[i].verdict == (url_filter.rule_of(*p)[1] or ("block" if got[i].margin > 0 else "allow")) for i, p in enumerate(parts))
+    beyond = [i for i, x in enumerate(features) if not any(w[2:] in url_filter.SPAM for w in x) and url_filter.rule_of(*parts[i])[1] is None and got[i].verdict == "block"]
+    assert beyond  # a verdict that no listed word implies
+
+
 def test_url_verdicts(spark):
     hosts = ["goodnews", "cheappills", "quietblog", "freebets"]
-    rows = [(i, f"https://www.{hosts[i % 4]}.example.com/en/{i}", "h", "x") for i in range(200)] + [(None, None, None, None), (5, "https://www.cheappills.example.com/en/5", "h", "x"), (900, "x" * 200_000, "h", "x")]
+    rows = [(i, f"https://www.{hosts[i % 4]}.example.com/en/{i}", "h", "x") for i in range(200)] + [(None, None, None, None), (5, "https://www.cheappills.example.com/en/5", "h", "x"), (900, "x" * 200_000, "h", "x"), (901, "http://" + "x" * 100_000 + ".info/" + "ab " * 9000, "h", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
     got = url_filter.url_verdicts(pages).collect()
     assert len(got) == len(rows)
