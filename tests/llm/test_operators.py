@@ -578,33 +578,62 @@ def test_failed_lines_leave_kept_documents(spark):
     assert [tuple(r) for r in bare] == [(PROSE + "\n",)]
 
 
-@pytest.mark.parametrize("table_words", [1 << 20, 4])
-def test_base_scores_are_exact(spark, odd, none, table_words):
+@pytest.mark.parametrize(("table_words", "most_bits"), [(1 << 20, 1 << 30), (4, 0)])
+def test_scores_equal_brute_force(spark, odd, none, table_words, most_bits):
+    """Base scores from exact counts; scores by a filter made here."""
     docs = odd.collect()
-    c = Counter()
+    c, pairs = Counter(), Counter()
+    words = lambda text: [*(text or "").encode().lower().split(), None]
     for r in docs:
         if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 10:
-            c.update((r.text or "").encode().lower().split())
-            c[None] += 1
+            own = words(r.text)
+            c.update(own)
+            pairs.update(zip([0, *own], own, strict=False))
     n, v = sum(c.values()), len(c)
-    got = bloom_lm.lm_scores(odd, table_words=table_words).collect()
+    once, twice = (sum(x == k for x in pairs.values()) for k in (1, 2))
+    d = once / (once + 2 * twice)
+    mass = d * len(pairs) / n
+    one_hash = lambda w: bloom_lm.END if w is None else bloom_lm.BEGIN if w == 0 else np.uint64(xxhash.xxh64_intdigest(w, seed=bloom_lm.SEED))
+    key = lambda u, w: bloom_lm.mixed(np.array([one_hash(u)]) * bloom_lm._M1 + one_hash(w))[0]
+    stored = {one_hash(w): x for w, x in c.items()} | {key(u, w): x for (u, w), x in pairs.items()}
+    h, q = np.array(list(stored), np.uint64), bloom_lm.level(np.array(list(stored.values())))
+    of = bloom_lm.of_block(h, 256)
+    bloom = bloom_lm.LogBloom.joined({k: bloom_lm.LogBloom.block_bits([(h[of == k], q[of == k])]) for k in range(256) if (of == k).any()}, 256)
+    count = lambda x: bloom_lm.LEVEL_COUNT[bloom.levels(np.array([x]))[0]]
+    smoothed = lambda x: (x + 0.1) / (n + 0.1 * (v + 1))
+
+    def score(own):
+        total = 0
+        for u, w in zip([0, *own], own, strict=False):
+            context, one = count(one_hash(None if u == 0 else u)), count(one_hash(w))
+            both = min(count(key(u, w)), context, one)
+            total += math.log10(min(1, max(both - d, 0) / context + mass * smoothed(one)) if context else smoothed(one))
+        return total
+
+    got = bloom_lm.lm_scores(odd, table_words=table_words, most_bits=most_bits).collect()
     assert len(got) == len(docs)
     for r in got:
         text = next(x.text for x in docs if x.doc_id == r.doc_id and (x.doc_id is not None or len((x.text or "").split()) + 1 == r.n_tokens))
-        own = [*(text or "").encode().lower().split(), None]
+        own = words(text)
         assert abs(r.base_score - sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own)) < 1e-6
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c[w] > 0 for w in own), n) and r.score < 0
-    assert bloom_lm.lm_scores(none).count() == 0
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c[w] > 0 for w in own), n)
+        assert abs(r.score - score(own)) < 1e-9
+    assert bloom_lm.lm_scores(none, table_words=table_words, most_bits=most_bits).count() == 0
+
+
+def test_what_is_broadcast_changes_no_score(spark):
+    rng = np.random.default_rng(6)
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 50) % 3000)) for i in range(300)], "doc_id long, text string").repartition(5)
+    a, b = ({r.doc_id: r for r in bloom_lm.lm_scores(docs, most_bits=bits, table_words=words).collect()} for bits, words in ((1 << 30, 1 << 20), (0, 50)))
+    assert all(abs(a[i].score - b[i].score) < 1e-9 and abs(a[i].base_score - b[i].base_score) < 1e-9 and a[i].n_known == b[i].n_known for i in a) and len(a) == len(b) == 300
 
 
 def test_bloom_levels_are_never_too_low():
     rng = np.random.default_rng(4)
     h = rng.integers(0, 2**64, 5000, dtype=np.uint64)
     q = rng.integers(1, 9, 5000)
-    blocks, size = 4, 1 << 16
-    of = (h >> np.uint64(62)).astype(int)
-    bits = b"".join(bloom_lm.LogBloom.block_bits([(h[of == b], q[of == b])], size) for b in range(blocks))
-    f = bloom_lm.LogBloom(np.frombuffer(bits, np.uint8), blocks)
+    of = bloom_lm.of_block(h, 4)
+    f = bloom_lm.LogBloom.joined({b: bloom_lm.LogBloom.block_bits([(h[of == b], q[of == b])]) for b in range(4)}, 4)
     got = f.levels(h)
     assert (got >= q).all() and (got == q).mean() > 0.97
     assert (f.levels(rng.integers(0, 2**64, 5000, dtype=np.uint64)) == 0).mean() > 0.97
