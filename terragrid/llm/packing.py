@@ -2,9 +2,11 @@
 
 Examples carry a vector of demands: tokens, segments and loss-bearing tokens.
 Open bins carry what is left of each.  The dot-product heuristic places an
-example into the bin, among those it fits, whose remaining capacity points
-most nearly the way of the example's demand, so that no one limit runs out
-while others stand empty.  Every task packs the rows it reads: nothing is
+example into the bin, among those it fits, whose remaining capacity has the
+greatest dot product with the example's demand (both as shares of the limits),
+so that no one limit runs out while others stand empty.  Plain documents bear
+loss on all tokens, so that limit binds for conversations, whose loss lies on
+the assistant's turns.  Every task packs the rows it reads: nothing is
 shuffled, and a lost task gives the same bins again when its rows are reread.
 """
 
@@ -19,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import batch_of, column, per_text, slices, table
+from ..shipping import ensure_shipped
+from .common import batch_of, column, slices, table
 
-#: Limits of a sequence: tokens, segments, loss-bearing tokens.
-TOKENS, SEGMENTS, LOSS = 2048, 512, 2048
+#: Limits of a sequence: tokens, segments, loss-bearing tokens (of documents, of conversations).
+TOKENS, SEGMENTS, LOSS, TURN_LOSS = 2048, 64, 2048, 1024
 #: Open bins a task keeps; when there are more, the fullest is closed (the next cut fills it first).
-OPEN_BINS = 64
+OPEN_BINS = 32
 
 
 class VectorPacker:
@@ -68,7 +71,7 @@ class VectorPacker:
         if not len(self.ids):
             return None
         share = self.left / self.limit
-        score = share @ (demand / self.limit) / np.maximum(np.sqrt((share * share).sum(1)), 1e-12)
+        score = share @ (demand / self.limit)
         score[(self.left < demand).any(1)] = -1
         k = int(score.argmax())
         return k if score[k] >= 0 else None
@@ -113,104 +116,129 @@ def powers(n: int) -> list[int]:
     return [1 << i for i in reversed(range(n.bit_length())) if n >> i & 1]
 
 
-class Tail:
-    """The pieces of part-filled bins, cut once more so that each last sequence is a power of two long and needs no padding."""
-
-    def __init__(self):
-        self.bins: dict[int, list[tuple]] = {}
-
-    def add(self, where: int, piece: tuple) -> None:
-        self.bins.setdefault(where, []).append(piece)
+def taken(pieces: list[tuple], n: int) -> tuple[list[tuple], list[tuple]]:
+    """The first ``n`` tokens of a list of pieces (doc, start, length, ids, total), and the rest."""
+    head, rest = [], list(pieces)
+    while n and rest:
+        doc, start, length, raw, total = rest.pop(0)
+        k = min(n, length)
+        head.append((doc, start, k, raw[: 4 * k], total))
+        if k < length:
+            rest.insert(0, (doc, start + k, length - k, raw[4 * k :], total))
+        n -= k
+    return head, rest
 
-    def pop(self, where: int) -> list[tuple]:
-        return self.bins.pop(where)
 
+def halved(pieces: list[tuple], size: int) -> list[list[tuple]]:
+    """Pieces of ``size`` tokens divided into runs of power-of-two lengths, which need no padding."""
+    out = []
+    for n in powers(size):
+        head, pieces = taken(pieces, n)
+        out.append(head)
+    return out
 
-def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", tokens: int = TOKENS, segments: int = SEGMENTS, loss: int = LOSS, end: int = 1) -> DataFrame:
-    """All documents packed into sequences of at most ``tokens`` tokens; one row per piece.
 
-    A document's ids are those of its whole text and then ``end``.  It is cut
-    where a sequence is full.  What a task has left over at its end is cut into
-    sequences whose lengths are powers of two, which need no padding.  A null
-    or empty text is the one id ``end``; a null doc_id stays null; repeated
-    rows are packed each; an empty table gives no rows; other columns are
-    ignored.  Sequence ids are unique, not gapless: the task's number in the
-    high bits.
-    """
+def _packing(make, tokens: int, segments: int, loss: int):
+    """The ``mapInArrow`` function that packs what ``make()``'s function gives of a batch: (id, token ids as bytes, loss marks or None)."""
 
     def run(batches):
-        pieces = bpe.Pieces(bpe.vocabulary_path(vocabulary))
-        packer, tail = VectorPacker(tokens, segments, loss), Tail()
+        examples, packer = make(), VectorPacker(tokens, segments, loss)
         base, number = TaskContext.get().partitionId() << 33, 0
-        stop = np.asarray([end], "<u4").tobytes()
+        bins: dict[int, list[tuple]] = {}
+        marks: dict[int, list] = {}
+
+        def rows(pieces: list[tuple]) -> list[tuple]:
+            """One bin's sequences: itself if full, else parts of power-of-two lengths."""
+            nonlocal number
+            out, size = [], sum(x[2] for x in pieces)
+            for kept in [pieces] if size == tokens else halved(pieces, size):
+                offset = 0
+                for doc, start, length, raw, total in kept:
+                    out.append((doc, start, length, zlib.crc32(raw), total, base + number, offset))
+                    offset += length
+                number += 1
+            return out
 
-        def rows(kept: list[tuple], seq: int) -> list[tuple]:
-            out, offset = [], 0
-            for doc, start, length, raw, total in kept:
-                out.append((doc, start, length, zlib.crc32(raw), total, seq, offset))
-                offset += length
+        def put(own: VectorPacker, doc, start: int, raw: bytes, total: int, loss_of) -> list[tuple]:
+            """The rows of the bins that are closed when a piece from ``start`` on is placed."""
+            for where, _, at, length in own.place(len(raw) // 4, loss_of):
+                bins.setdefault(where, []).append((doc, start + at, length, raw[4 * at : 4 * (at + length)], total))
+                marks.setdefault(where, []).append(None if loss_of is None else loss_of[at : at + length])
+            out = []
+            while own.closed:
+                k = own.closed.pop()
+                marks.pop(k)
+                out += rows(bins.pop(k))
             return out
 
         for part in slices(batches):
             out = []
-            for doc, text in zip(column(part, "doc_id"), column(part, "text"), strict=True):
-                raw = bpe.encode_ids(text, pieces) + stop
-                n = len(raw) // 4
-                for where, _, at, length in packer.place(n):
-                    tail.add(where, (doc, at, length, raw[4 * at : 4 * (at + length)], n))
-                while packer.closed:
-                    kept = tail.pop(packer.closed.pop())
-                    size = sum(x[2] for x in kept)
-                    for cut in [kept] if size == tokens else halved(kept, size):
-                        out += rows(cut, base + number)
-                        number += 1
+            for doc, raw, loss_of in examples(part):
+                out += put(packer, doc, 0, raw, len(raw) // 4, loss_of)
             if out:
                 yield batch_of(OUT, *zip(*out, strict=True))
-        out = []
-        rest = [x for where in list(tail.bins) for x in tail.pop(where)]
-        for kept in refilled(rest, min(tokens, loss), segments):  # every token bears loss
-            for cut in halved(kept, sum(x[2] for x in kept)):
-                out += rows(cut, base + number)
-                number += 1
+        # What stands in bins that are not full is packed again, longest first, one bin open at a time.
+        rest = sorted(((p, m) for k in list(bins) for p, m in zip(bins.pop(k), marks.pop(k), strict=True)), key=lambda x: -x[0][2])
+        last, out = VectorPacker(tokens, segments, loss, open_bins=1), []
+        for (doc, start, _, raw, total), loss_of in rest:
+            out += put(last, doc, start, raw, total, loss_of)
+        for k in list(bins):
+            out += rows(bins.pop(k))
         if out:
             yield batch_of(OUT, *zip(*out, strict=True))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
+    return run
 
 
-def taken(pieces: list[tuple], n: int) -> tuple[list[tuple], list[tuple]]:
-    """The first ``n`` tokens of a list of pieces, and the rest."""
-    head, rest = [], list(pieces)
-    while n and rest:
-        doc, start, length, raw, total = rest.pop(0)
-        k = min(n, length)
-        head.append((doc, start, k, raw[: 4 * k], total))
-        if k < length:
-            rest.insert(0, (doc, start + k, length - k, raw[4 * k :], total))
-        n -= k
-    return head, rest
+def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", tokens: int = TOKENS, segments: int = SEGMENTS, loss: int = LOSS, end: int = 1) -> DataFrame:
+    """All documents packed into sequences of at most ``tokens`` tokens; one row per piece.
 
+    A document's ids are those of its whole text and then ``end``; all bear
+    loss.  It is cut where a sequence is full.  What a task has left over at its
+    end is packed once more, and sequences that are not full then are cut to
+    lengths that are powers of two, which need no padding.  A null or empty text
+    is the one id ``end``; a null doc_id stays null; repeated rows are packed
+    each; an empty table gives no rows; other columns are ignored.  Sequence ids
+    are unique, not gapless: the task's number in the high bits.
+    """
+    ensure_shipped(docs.sparkSession)
 
-def halved(pieces: list[tuple], size: int) -> list[list[tuple]]:
-    """Pieces of ``size`` tokens divided into runs of power-of-two lengths."""
-    out = []
-    for n in powers(size):
-        head, pieces = taken(pieces, n)
-        out.append(head)
-    return out
+    def make():
+        pieces, stop = bpe.Pieces(bpe.vocabulary_path(vocabulary)), np.asarray([end], "<u4").tobytes()
+        return lambda part: ((doc, bpe.encode_ids(text, pieces) + stop, None) for doc, text in zip(column(part, "doc_id"), column(part, "text"), strict=True))
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packing(make, tokens, segments, loss), PIECE)
 
 
-def refilled(pieces: list[tuple], tokens: int, segments: int) -> list[list[tuple]]:
-    """Left-over pieces joined into full sequences within the segment limit, the last ones shorter."""
-    out, now, size = [], [], 0
-    while pieces:
-        head, pieces = taken(pieces, min(pieces[0][2], tokens - size))
-        now += head
-        size += head[0][2]
-        if size == tokens or len(now) == segments:
-            out.append(now)
-            now, size = [], 0
-    return [*out, now] if now else out
+def pack_conversations(turns: DataFrame, vocabulary: str = "byte_bpe_50k.json", tokens: int = TOKENS, segments: int = SEGMENTS, loss: int = TURN_LOSS, end: int = 1, speaker: str = "assistant") -> DataFrame:
+    """Conversations (conv_id, turn, role, text) packed as documents are, with loss on ``speaker``'s turns alone.
+
+    A conversation is one example: its turns by number, then role and text, each
+    ended by ``end``, which bears loss as its turn does.  doc_id is conv_id.
+    Null texts are empty, null roles bear no loss, rows without a conv_id are
+    one conversation; an empty table gives no rows.
+    """
+    ensure_shipped(turns.sparkSession)
+    every = F.array_sort(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))))
+    whole = turns.groupBy(F.col("conv_id").cast("long").alias("doc_id")).agg(every.alias("turns"))
+    whole = whole.select("doc_id", F.array_join("turns.text", "").alias("text"), F.transform("turns.text", F.char_length).alias("sizes"), F.transform("turns.role", lambda r: r == speaker).alias("loss"))
+
+    def make():
+        pieces, stop = bpe.Pieces(bpe.vocabulary_path(vocabulary)), np.asarray([end], "<u4").tobytes()
+
+        def examples(part):
+            for doc, text, sizes, bears in zip(*(column(part, k) for k in ("doc_id", "text", "sizes", "loss")), strict=True):
+                raw, marks, at = [], [], 0
+                for size, yes in zip(sizes, bears, strict=True):
+                    own = bpe.encode_ids(text[at : at + size], pieces) + stop
+                    raw.append(own)
+                    marks.append(np.full(len(own) // 4, yes))
+                    at += size
+                yield doc, b"".join(raw), np.concatenate(marks)
+
+        return examples
+
+    return whole.mapInArrow(_packing(make, tokens, segments, loss), PIECE)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,6 +144,44 @@ def test_packing_keeps_every_limit_to_the_end(spark, odd, segments, loss):
     assert max(own.values()) <= segments and max(size.values()) <= loss
 
 
+def test_conversations_bear_loss_on_the_assistants_turns(spark):
+    turns = [(c, t, "assistant" if t % 2 else "user", f"turn {t} of {c} " + PROSE * (1 + (c * t) % 3)) for c in range(60) for t in range(1 + c % 5)]
+    turns += [(900, 0, None, None), (901, 0, "assistant", PROSE * 60)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    got = packing.pack_conversations(frame, tokens=256, segments=6, loss=100).collect()
+    ids, loss = {}, {}
+    for c, _, role, text in sorted(turns, key=lambda x: x[:2]):
+        own = [*library_ids([text])[0], 1]
+        ids.setdefault(c, []).extend(own)
+        loss.setdefault(c, []).extend([role == "assistant"] * len(own))
+    used = {}
+    for p in got:
+        mine = ids[p.doc_id][p.start : p.start + p.length]
+        assert p.doc_tokens == len(ids[p.doc_id]) and p.ids_crc32 == zlib.crc32(np.asarray(mine, "<u4").tobytes())
+        used.setdefault(p.sequence_id, []).append((p.offset, p.length, sum(loss[p.doc_id][p.start : p.start + p.length])))
+    for own in used.values():
+        own.sort()
+        assert [o for o, _, _ in own] == [0, *np.cumsum([n for _, n, _ in own])[:-1]] and len(own) <= 6
+        size = sum(n for _, n, _ in own)
+        assert sum(x for _, _, x in own) <= 100 and size <= 256 and (size == 256 or size & (size - 1) == 0)
+    assert sum(p.length for p in got) == sum(map(len, ids.values()))
+    free = Counter()
+    for p in packing.pack_conversations(frame, tokens=256, segments=6, loss=256).collect():
+        free[p.sequence_id] += sum(loss[p.doc_id][p.start : p.start + p.length])
+    assert max(free.values()) > 100  # the limit binds
+    assert packing.pack_conversations(frame.limit(0)).count() == 0
+
+
+def test_best_bin_has_the_greatest_dot_product():
+    packer = packing.VectorPacker(100, 10, 50)
+    packer.left, packer.ids, packer.bins = np.array([[90.0, 2, 10], [60, 9, 45], [20, 1, 50]]), np.arange(3), 3
+    for demand in ([10, 1, 1], [10, 1, 10], [15, 1, 15], [70, 1, 5], [95, 1, 1]):
+        d = np.array(demand, float)
+        fits = [k for k in range(3) if (d <= packer.left[k]).all()]
+        want = max(fits, key=lambda k: sum(a / c * b / c for a, b, c in zip(packer.left[k], d, (100, 10, 50), strict=True)), default=None)
+        assert packer.best(d) == want
+
+
 def test_packer_keeps_every_limit():
     rng = np.random.default_rng(3)
     for cut in (True, False):
