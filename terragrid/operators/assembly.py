@@ -90,3 +90,19 @@ def zoomed(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
     """Finite values inside (west, east, south, north), ends included."""
     w, e, s, n = box
     return df.where(F.col("lon").between(w, e) & F.col("lat").between(s, n) & finite(F.col("value")))
+
+
+def inside_open(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Rows inside (west, east, south, north), ends left out."""
+    w, e, s, n = box
+    return df.where((F.col("lon") > w) & (F.col("lon") < e) & (F.col("lat") > s) & (F.col("lat") < n))
+
+
+def celsius(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Kelvin columns in degrees Celsius."""
+    return df.withColumns({c: F.col(f"`{c}`") - 273.15 for c in columns})
+
+
+def at_time(df: DataFrame, stamp: str) -> DataFrame:
+    """``df`` with a constant column ``time``."""
+    return df.withColumn("time", F.lit(stamp).cast("timestamp_ntz"))

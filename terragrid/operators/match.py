@@ -5,11 +5,12 @@ from __future__ import annotations
 import itertools
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import chord, geodesic_distance, unit_vector
 from ..sources.grid import Grid
+from ..storage import stored
 
 
 def native(pixels: DataFrame, grid: Grid) -> DataFrame:
@@ -69,19 +70,18 @@ def nearest(pixels: DataFrame, targets: DataFrame, pixel_key: list[str], k: int
         raise ValueError("there are no targets")
     size = spacing or min(2.0, 2 * math.sqrt(4 * math.pi / n))
     k, rest, out = min(k, n), pixels, None
+    by_pixel = Window.partitionBy(*pixel_key)
     while True:
-        pairs = _keyed(rest, size).join(_near(targets, size), [f"_k{c}" for c in "xyz"]).withColumn("_d2", _d2())
-        best = F.slice(F.array_sort(F.collect_list(F.struct(F.col("_d2").alias("d2"), "target_id"))), 1, k)
-        keep = [c for c in pixels.columns if c not in pixel_key]
-        top = pairs.groupBy(*pixel_key).agg(*[F.first(c).alias(c) for c in keep], (F.min(F.struct(F.col("_d2").alias("d2"), "target_id")) if k == 1 else best).alias("_best"))
-        top = top.withColumn("_best", F.array("_best")) if k == 1 else top
+        pairs = _keyed(rest, size).join(_near(targets, size), [f"_k{c}" for c in "xyz"]).select(*pixels.columns, "target_id", _d2().alias("d2"))
+        best = pairs.withColumn("rank", F.row_number().over(by_pixel.orderBy("d2", "target_id"))).where(F.col("rank") <= k)  # limited before the shuffle
         last = size >= 2
-        done = top if last else top.where((F.size("_best") >= k) & (F.element_at("_best", -1)["d2"] <= size * size))
-        part = done.select(*pixels.columns, F.posexplode("_best").alias("_p", "_b")).select(*pixels.columns, F.col("_b.target_id").alias("target_id"), F.col("_b.d2").alias("d2"), (F.col("_p") + 1).alias("rank"))
-        out = part if out is None else out.unionByName(part)
+        if not last:
+            best = best.withColumn("_far", F.max("d2").over(by_pixel)).withColumn("_n", F.max("rank").over(by_pixel)).where((F.col("_n") == k) & (F.col("_far") <= size * size)).drop("_far", "_n")
+        done = stored(best, "nearest")
+        out = done if out is None else out.unionByName(done)
         if last:
             return out
-        rest = rest.join(done.select(*pixel_key), pixel_key, "left_anti")
+        rest = stored(rest.join(done.where("rank = 1").select(*pixel_key), pixel_key, "left_anti"), "unsettled")
         if rest.isEmpty():
             return out
         size = min(2.0, 2 * size)

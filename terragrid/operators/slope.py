@@ -11,16 +11,32 @@ from ..functions.geo import R_AREA, R_LEGACY, finite
 from ..sources.raster import Raster
 
 
+#: Rows of a block, whose pixels one task sees with a row more on each side.
+BLOCK = 64
+
+
 def _neighbours(df: DataFrame, n_rows: int, n_cols: int, periodic: bool) -> DataFrame:
-    """Columns n, s (next and previous row), e, w (next and previous column) of ``value``; holes stay holes."""
-    by_col, by_row = Window.partitionBy("col").orderBy("row"), Window.partitionBy("row").orderBy("col")
-    at = lambda w, d: F.first("value").over(w.rangeBetween(d, d))
-    out = df.withColumns({"n": at(by_col, 1), "s": at(by_col, -1)}).withColumns({"e": at(by_row, 1), "w": at(by_row, -1)})
+    """Columns n, s (next and previous row), e, w (next and previous column) of ``value``; holes stay holes.
+
+    One shuffle, by block of rows: a block's first and last rows are sent to the
+    blocks beside it as well, and across a seam the first and last columns are
+    sent beyond each other.  Copies are dropped in the end.
+    """
+    row, col = F.col("row"), F.col("col")
+    own = F.expr(f"row div {BLOCK}")
+    sent = [F.array(F.struct(own.alias("block"), col.alias("at")))]
+    for test, block in ((F.pmod(row, F.lit(BLOCK)) == 0, own - 1), (F.pmod(row, F.lit(BLOCK)) == BLOCK - 1, own + 1)):
+        sent.append(F.when(test, F.array(F.struct(block.alias("block"), col.alias("at")))))
     if periodic:
-        whole = Window.partitionBy("row")
-        end = lambda c: F.max(F.when(F.col("col") == c, F.col("value"))).over(whole)
-        out = out.withColumns({"e": F.when(F.col("col") == n_cols - 1, end(0)).otherwise(F.col("e")), "w": F.when(F.col("col") == 0, end(n_cols - 1)).otherwise(F.col("w"))})
-    return out
+        for test, at in ((col == 0, F.lit(n_cols).cast("long")), (col == n_cols - 1, F.lit(-1).cast("long"))):
+            sent.append(F.when(test, F.array(F.struct(own.alias("block"), at.alias("at")))))
+    none = F.array().cast("array<struct<block:bigint,at:bigint>>")
+    spread = df.withColumns({"row": row.cast("long"), "col": col.cast("long")}).withColumn("_s", F.explode(F.concat(*[F.coalesce(x.cast("array<struct<block:bigint,at:bigint>>"), none) for x in sent])))
+    dealt = spread.select(*df.columns, F.col("_s.block").alias("_block"), F.col("_s.at").alias("_at")).repartition("_block")
+    by_col, by_row = Window.partitionBy("_block", "_at").orderBy("row"), Window.partitionBy("_block", "row").orderBy("_at")
+    at = lambda w, d: F.first("value").over(w.rangeBetween(d, d))
+    out = dealt.withColumns({"n": at(by_col, 1), "s": at(by_col, -1)}).withColumns({"e": at(by_row, 1), "w": at(by_row, -1)})
+    return out.where((F.col("_block") == own) & (F.col("_at") == F.col("col"))).drop("_block", "_at")
 
 
 def slopes(raster: Raster, sphere: float = R_AREA) -> DataFrame:

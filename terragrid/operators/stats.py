@@ -50,9 +50,9 @@ def summarise(matched: DataFrame, mode: str, key: str = "cell", categories: dict
     """One row per ``key``: the mode's columns and the diagnostics.
 
     ``matched`` has ``key``, ``weight`` and ``value`` (slope mode: slope_x and
-    slope_y).  All modes but std are one partial and final aggregation.  std
-    joins the means back for exact centred moments; ``single_pass`` shifts by
-    the overall mean instead, which needs no second shuffle and loses about
+    slope_y).  All modes read the pixels once and shuffle partial results only.
+    std merges centred moments of equal weights, a target's raster rows;
+    ``single_pass`` shifts by the overall mean instead, which loses about
     (mean - overall mean)^2 / variance ulps.
     """
     if mode == "slope":
@@ -72,10 +72,17 @@ def summarise(matched: DataFrame, mode: str, key: str = "cell", categories: dict
         w = F.sum(F.when(valid, F.col("weight")))
         m1, m2 = F.try_divide(F.sum(F.col("weight") * d), w), F.try_divide(F.sum(F.col("weight") * d * d), w)
         return matched.groupBy(key).agg((m1 + origin).alias("mean"), F.when(F.count_if(valid) == 1, 0.0).otherwise(F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0)))).alias("std"), *_diagnostics(valid))
-    means = matched.groupBy(key).agg(_mean("value", valid).alias("mean"), *_diagnostics(valid))
-    off = F.col("value") - F.col("mean")
-    spread = matched.where(valid).join(means.select(key, "mean"), key).groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * off * off) / F.sum("weight")).alias("std"))
-    return means.join(spread, key, "left").select(key, "mean", "std", "source_area", "valid_area", "source_count", "valid_count")
+    # Pixels of one weight (a raster row's) are counted, averaged and spread by Spark's centred moments; these few rows then merge.
+    v = F.when(valid, F.col("value").cast("double"))
+    part = matched.groupBy(key, "weight").agg(F.count("*").alias("all"), F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v"))
+    own = part.groupBy(key).agg(F.collect_list(F.struct("weight", "all", "n", "m", "v")).alias("parts"))
+    total = lambda e: F.aggregate("parts", F.lit(0.0), lambda s, x: s + e(x))
+    w = total(lambda x: x["weight"] * x["n"])
+    out = own.withColumns({"source_area": total(lambda x: x["weight"] * x["all"]), "valid_area": w, "source_count": F.aggregate("parts", F.lit(0).cast("long"), lambda s, x: s + x["all"]), "valid_count": F.aggregate("parts", F.lit(0).cast("long"), lambda s, x: s + x["n"])})
+    out = out.withColumn("mean", F.try_divide(total(lambda x: F.when(x["n"] > 0, x["weight"] * x["n"] * x["m"]).otherwise(0.0)), F.col("valid_area")))
+    off = lambda x: F.when(x["n"] > 0, x["weight"] * x["n"] * (x["v"] + (x["m"] - F.col("mean")) * (x["m"] - F.col("mean")))).otherwise(0.0)
+    out = out.withColumn("std", F.sqrt(F.try_divide(total(off), F.col("valid_area"))))
+    return out.select(key, "mean", "std", "source_area", "valid_area", "source_count", "valid_count")
 
 
 def value_columns(mode: str, categories: dict | None = None) -> list[str]:

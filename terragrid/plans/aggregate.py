@@ -11,7 +11,7 @@ from ..functions.geo import R_AREA
 from ..operators import match, output, slope, stats
 from ..sources.grid import Grid
 from ..sources.raster import Raster
-from .windows import neighbourhood_rows, pruned, source_windows
+from .windows import neighbourhood_rows, pruned, source_windows, widened
 
 
 def check_options(mode: str, radius_m: float | None, fill_missing_mean: float | None, fill_uncovered: float | None, fill_uncovered_mean: float | None) -> float | None:
@@ -34,6 +34,14 @@ def check_options(mode: str, radius_m: float | None, fill_missing_mean: float |
     return fill
 
 
+def _pixels(raster: Raster, mode: str, rows: list | None, cols: list | None) -> DataFrame:
+    """The weighted pixels in the windows; slopes are made of the windows and one pixel around them, so the scan is pruned all the same."""
+    if mode != "slope":
+        return pruned(raster.weighted(), rows, cols)
+    halo = pruned(raster.df, rows and widened(rows, len(raster.lats)), cols and widened(cols, len(raster.lons), raster.periodic))
+    return pruned(slope.slopes(raster.with_df(halo)), rows, cols)
+
+
 def aggregate(
     raster: Raster, grid: Grid, mode: str = "fractions", categories: dict | None = None, points: DataFrame | None = None, radius_m: float | None = None,
     fill_missing_mean: float | None = None, fill_uncovered: float | None = None, fill_uncovered_mean: float | None = None, prune: bool = True, check: bool = True, single_pass: bool = False,
@@ -48,19 +56,21 @@ def aggregate(
     fill = check_options(mode, radius_m, fill_missing_mean, fill_uncovered, fill_uncovered_mean)
     spark = raster.df.sparkSession
     codes = stats.check_categories(categories or stats.CATEGORIES) if mode == "fractions" else None
-    pixels = slope.slopes(raster) if mode == "slope" else raster.weighted()
     selected = grid.select_points(points) if points is not None else None
+    rows = cols = None
     if radius_m is not None:
         targets = selected if selected is not None else grid.located(grid.cells(spark))
         if prune:
             low, high = targets.agg(F.min("lat"), F.max("lat")).first()
             if low is None or not (math.isfinite(low) and math.isfinite(high)):
                 raise ValueError("neighbourhood targets are not finite")
-            pixels = pruned(pixels, neighbourhood_rows(raster.lats, (low, high), radius_m))
+            rows = neighbourhood_rows(raster.lats, (low, high), radius_m)
+        pixels = _pixels(raster, mode, rows, cols)
         matched = match.radius(pixels, targets.select("cell", "lon", "lat"), radius_m, R_AREA)
     else:
         if prune:
-            pixels = pruned(pixels, *source_windows(grid, raster.lats, raster.lons))
+            rows, cols = source_windows(grid, raster.lats, raster.lons)
+        pixels = _pixels(raster, mode, rows, cols)
         matched = match.native(pixels, grid)
         if selected is not None:
             matched = matched.join(selected.select("cell"), "cell", "left_semi")

@@ -9,18 +9,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import finite
+from ..storage import stored
 
 #: Recipes in brief (fixed values): source name, its variables, their output names; dates from, to, hours.
-_SLOPES = lambda d, own=("slope_x", "slope_y"): (f"slope_{d}", list(own), [f"slor_x_{d}", f"slor_y_{d}"])
-_OLD = ("orography_slope_x", "orography_slope_y")
-_CLASSES = ["sea", "lake", "nature", "urban", "glacier", "forest"]
 DATES = ("1979-01-01", "2027-01-01", 8760)
 RECIPES = {
-    "carra2": [("fractions", _CLASSES, _CLASSES), ("tree_height", ["mean"], ["treeheight"]), ("std_100", ["std_oro_100km"], ["sdor_100"]), ("std_30", ["std_oro_30km"], ["sdor_30"]), ("std_2p5", ["std"], ["sdor_2p5"]), _SLOPES("100", _OLD), _SLOPES("30", _OLD), _SLOPES("2p5")],
-    "metcoop": [("fractions", _CLASSES, _CLASSES), ("tree_height", ["mean"], ["treeheight"]), *[(f"std_{d}", ["std"], [f"sdor_{d}"]) for d in ("100", "30", "2p5")], *[_SLOPES(d) for d in ("100", "30", "2p5")]],
-    "n320": [("fractions", None, None), ("tree_height", ["h_tree_mean"], ["h_tree_mean"]), *[(f"std_{d}", ["orography_std"], [f"sdor_{d}"]) for d in ("100", "30")], *[_SLOPES(d, _OLD) for d in ("100", "30")]],
-    "o96": [("fractions", None, None), ("tree_height", ["h_tree_mean"], ["h_tree_mean"]), ("std_100", ["orography_std"], ["sdor_100"]), _SLOPES("100", _OLD)],
-}
+    "carra2": [
+        ("fractions", ["sea", "lake", "nature", "urban", "glacier", "forest"], ["sea", "lake", "nature", "urban", "glacier", "forest"]),
+        ("tree_height", ["mean"], ["treeheight"]),
+        ("std_100", ["std_oro_100km"], ["sdor_100"]),
+        ("std_30", ["std_oro_30km"], ["sdor_30"]),
+        ("std_2p5", ["std"], ["sdor_2p5"]),
+        ("slope_100", ["orography_slope_x", "orography_slope_y"], ["slor_x_100", "slor_y_100"]),
+        ("slope_30", ["orography_slope_x", "orography_slope_y"], ["slor_x_30", "slor_y_30"]),
+        ("slope_2p5", ["slope_x", "slope_y"], ["slor_x_2p5", "slor_y_2p5"]),
+    ],
+    "metcoop": [
+        ("fractions", ["sea", "lake", "nature", "urban", "glacier", "forest"], ["sea", "lake", "nature", "urban", "glacier", "forest"]),
+        ("tree_height", ["mean"], ["treeheight"]),
+        ("std_100", ["std"], ["sdor_100"]),
+        ("std_30", ["std"], ["sdor_30"]),
+        ("std_2p5", ["std"], ["sdor_2p5"]),
+        ("slope_100", ["slope_x", "slope_y"], ["slor_x_100", "slor_y_100"]),
+        ("slope_30", ["slope_x", "slope_y"], ["slor_x_30", "slor_y_30"]),
+        ("slope_2p5", ["slope_x", "slope_y"], ["slor_x_2p5", "slor_y_2p5"]),
+    ],
+    "n320": [
+        ("fractions", None, None),
+        ("tree_height", ["h_tree_mean"], ["h_tree_mean"]),
+        ("std_100", ["orography_std"], ["sdor_100"]),
+        ("std_30", ["orography_std"], ["sdor_30"]),
+        ("slope_100", ["orography_slope_x", "orography_slope_y"], ["slor_x_100", "slor_y_100"]),
+        ("slope_30", ["orography_slope_x", "orography_slope_y"], ["slor_x_30", "slor_y_30"]),
+    ],
+    "o96": [
+        ("fractions", None, None),
+        ("tree_height", ["h_tree_mean"], ["h_tree_mean"]),
+        ("std_100", ["orography_std"], ["sdor_100"]),
+        ("slope_100", ["orography_slope_x", "orography_slope_y"], ["slor_x_100", "slor_y_100"]),
+    ],
+}
 
 
 def source(df: DataFrame, key: str, variables: list[str] | None = None, names: list[str] | None = None) -> DataFrame:
@@ -30,13 +58,18 @@ def source(df: DataFrame, key: str, variables: list[str] | None = None, names: l
 
 
 def joined(frames: list[DataFrame], key: str, check: bool = True) -> DataFrame:
-    """Sources joined by point; all must have the same points."""
-    out = functools.reduce(lambda a, b: a.join(b, key), frames)
-    if check:
-        counts = {f.count() for f in (*frames, out)}
-        if len(counts) > 1:
-            raise ValueError(f"the sources' points differ: {sorted(counts)}")
-    return out
+    """Sources joined by point; all must have the same points, which one pass over the outer join decides."""
+    if not check:
+        return functools.reduce(lambda a, b: a.join(b, key), frames)
+    names = [c for f in frames for c in f.columns if c != key]
+    if clash := sorted({c for c in names if names.count(c) > 1}):
+        raise ValueError(f"several sources have {clash}")
+    marks = [f"_has{i}" for i in range(len(frames))]
+    every = stored(functools.reduce(lambda a, b: a.join(b, key, "full_outer"), [f.withColumn(m, F.lit(True)) for f, m in zip(frames, marks, strict=True)]), "recipe")
+    gaps = every.agg(*[F.count_if(F.col(m).isNull()).alias(m) for m in marks]).first()
+    if any(gaps):
+        raise ValueError(f"the sources' points differ: they lack {list(gaps)} of all")
+    return every.drop(*marks)
 
 
 def piped(df: DataFrame, steps: list[Callable[[DataFrame], DataFrame]]) -> DataFrame:

@@ -12,13 +12,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.geo import R_AREA, Projection, geodesic_distance
+from .functions.geo import R_AREA, Projection, geodesic_distance, match_convention
 from .operators import assembly, features, legacy, match, output, slope, stats, terrain
 from .plans import recipe, windows
 from .plans.aggregate import aggregate
 from .shipping import ensure_shipped
 from .sources.grid import Grid, fit_lattice, grid_step
-from .sources.raster import Raster
+from .sources.raster import Raster, tile_id
+from .storage import shared_folder
 
 COLS, STEP = 64, 5.625
 GRID = Grid(Projection("stere", 90.0, -30.0), -2875000.0, 250000.0, 24, 2875000.0, -250000.0, 24)
@@ -106,9 +107,8 @@ def native_std(spark, sf_dir):
 
 
 _SLOPE = f"""v AS (SELECT *, CASE WHEN hole THEN NULL ELSE z END AS v FROM wx),
-nb AS (SELECT a.*, s.v AS vs, nn.v AS vn, e.v AS ve, ww.v AS vw FROM v a
-  LEFT JOIN v s ON s.col = a.col AND s.row = a.row - 1 LEFT JOIN v nn ON nn.col = a.col AND nn.row = a.row + 1
-  LEFT JOIN v e ON e.row = a.row AND e.col = (a.col + 1) % 64 LEFT JOIN v ww ON ww.row = a.row AND ww.col = (a.col + 63) % 64),
+nb AS (SELECT *, lag(v) OVER c AS vs, lead(v) OVER c AS vn, coalesce(lead(v) OVER r, CASE WHEN col = 63 THEN first_value(v) OVER r END) AS ve, CASE WHEN col = 0 THEN last_value(v) OVER whole ELSE lag(v) OVER r END AS vw
+  FROM v WINDOW c AS (PARTITION BY col ORDER BY row), r AS (PARTITION BY row ORDER BY col), whole AS (PARTITION BY row ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 sl AS (SELECT *, CASE WHEN v IS NULL THEN NULL WHEN row = 0 THEN (vn - v) / dlat WHEN row = n - 1 THEN (v - vs) / dlat ELSE (vn - vs) / (2 * dlat) END AS sy,
     CASE WHEN v IS NULL THEN NULL ELSE (ve - vw) / (2 * {R_AREA}::DOUBLE * radians(5.625::DOUBLE)) / cos(radians(lat)) END AS sx
   FROM (SELECT *, {R_AREA}::DOUBLE * radians(-180.0::DOUBLE / n) AS dlat FROM nb)),
@@ -217,19 +217,13 @@ def legacy_nn_sphere(spark, sf_dir):
     return match.nearest(_raster(spark, sf_dir).df, _targets(spark), ["row", "col"]).select("row", "col", F.round("d2", 12).alias("d2"))
 
 
-@_query("knn_k8", f"WITH {_PX}, {_NN} SELECT row, col, rank, d2 FROM (SELECT row, col, d2, row_number() OVER (PARTITION BY row, col ORDER BY d2) AS rank FROM d WHERE row % 10 = 0 AND col % 8 = 0) WHERE rank <= 8")
+@_query("knn_k8")
 def knn_k8(spark, sf_dir):
-    r = _raster(spark, sf_dir).df.where("row % 10 = 0 and col % 8 = 0")  # the lookup lattice is coarser than the raster
-    return match.nearest(r, _targets(spark), ["row", "col"], k=8).select("row", "col", F.col("rank").cast("long").alias("rank"), F.round("d2", 12).alias("d2"))
-
-
-@_query("knn_k8_all")
-def knn_k8_all(spark, sf_dir):
-    """knn_k8 over all pixels; tests hold it against brute force, since the all-pairs SQL is too slow."""
+    """The eight nearest targets of every pixel; tests hold it against brute force, since the all-pairs SQL is too slow."""
     return match.nearest(_raster(spark, sf_dir).df, _targets(spark), ["row", "col"], k=8).select("row", "col", F.col("rank").cast("long").alias("rank"), F.round("d2", 12).alias("d2"))
 
 
-@_query("legacy_slope", f"WITH {_PX}, e AS (SELECT a.row, a.col, a.lat, a.n, a.z, s.z AS vs, nn.z AS vn, ee.z AS ve, ww.z AS vw FROM px a LEFT JOIN px s ON s.col = a.col AND s.row = a.row - 1 LEFT JOIN px nn ON nn.col = a.col AND nn.row = a.row + 1 LEFT JOIN px ee ON ee.row = a.row AND ee.col = a.col + 1 LEFT JOIN px ww ON ww.row = a.row AND ww.col = a.col - 1) SELECT row, col, round((CASE WHEN col = 0 THEN ve - z WHEN col = 63 THEN z - vw ELSE (ve - vw) / 2 END) / (6371000.0::DOUBLE * radians(5.625::DOUBLE) * cos(radians(lat))), 12) AS slope_x, round((CASE WHEN row = 0 THEN vn - z WHEN row = n - 1 THEN z - vs ELSE (vn - vs) / 2 END) / (6371000.0::DOUBLE * radians(-180.0::DOUBLE / n)), 12) AS slope_y FROM e")
+@_query("legacy_slope", f"WITH {_PX}, e AS (SELECT *, lag(z) OVER c AS vs, lead(z) OVER c AS vn, lead(z) OVER r AS ve, lag(z) OVER r AS vw FROM px WINDOW c AS (PARTITION BY col ORDER BY row), r AS (PARTITION BY row ORDER BY col)) SELECT row, col, round((CASE WHEN col = 0 THEN ve - z WHEN col = 63 THEN z - vw ELSE (ve - vw) / 2 END) / (6371000.0::DOUBLE * radians(5.625::DOUBLE) * cos(radians(lat))), 12) AS slope_x, round((CASE WHEN row = 0 THEN vn - z WHEN row = n - 1 THEN z - vs ELSE (vn - vs) / 2 END) / (6371000.0::DOUBLE * radians(-180.0::DOUBLE / n)), 12) AS slope_y FROM e")
 def legacy_slope(spark, sf_dir):
     r = _raster(spark, sf_dir)
     return slope.legacy_slopes(r.df, r.lat_step, STEP).select("row", "col", _r("slope_x", 12), _r("slope_y", 12))
@@ -344,15 +338,16 @@ def axial_decompose(spark, sf_dir):
     return assembly.axial(d, [("norm", "dir")]).select("l_orderkey", "l_linenumber", _r("norm_x", 4), _r("norm_y", 4))
 
 
-_NBR = "off AS (SELECT i, j FROM (SELECT unnest(generate_series(-3, 3)) AS i), (SELECT unnest(generate_series(-3, 3)) AS j) WHERE i * i + j * j <= 12.25)"
+#: Sums over the disk of 3.5 cells: half rows of 3, 3, 2 and 1 cells at 0 to 3 rows away.
+_DISK = "rows_ AS (SELECT *, " + ", ".join(f"sum({e}) OVER (PARTITION BY row ORDER BY col ROWS BETWEEN {k} PRECEDING AND {k} FOLLOWING) AS {n}{k}" for k in (1, 2, 3) for n, e in (("n", "1"), ("s", "z"), ("q", "z * z"))) + " FROM px), disk AS (SELECT *, " + ", ".join(" + ".join([f"{n}3", *(f"coalesce({f}({n}{k}, {d}) OVER c, 0)" for d, k in ((1, 3), (2, 2), (3, 1)) for f in ("lag", "lead"))]) + f" AS d{n}" for n in "nsq") + " FROM rows_ WINDOW c AS (PARTITION BY col ORDER BY row))"
 
 
-@_query("tpi", f"WITH {_PX}, {_NBR}, m AS (SELECT p.row - i AS row, p.col - j AS col, avg(z) AS m FROM px p, off WHERE i <> 0 OR j <> 0 GROUP BY 1, 2) SELECT p.row, p.col, round(z - m, 6) AS tpi FROM px p LEFT JOIN m USING (row, col)")
+@_query("tpi", f"WITH {_PX}, {_DISK} SELECT row, col, round(z - (ds - z) / (dn - 1), 6) AS tpi FROM disk")
 def tpi(spark, sf_dir):
     return terrain.tpi(_raster(spark, sf_dir).df, 17500, 2500).select("row", "col", _r("tpi"))
 
 
-@_query("local_std", f"WITH {_PX}, {_NBR}, m AS (SELECT p.row - i AS row, p.col - j AS col, stddev_pop(z) AS s FROM px p, off GROUP BY 1, 2) SELECT p.row, p.col, round(s, 6) AS std FROM px p LEFT JOIN m USING (row, col)")
+@_query("local_std", f"WITH {_PX}, {_DISK} SELECT row, col, round(sqrt(greatest(dq / dn - (ds / dn) * (ds / dn), 0)), 6) AS std FROM disk")
 def local_std(spark, sf_dir):
     return terrain.local_std(_raster(spark, sf_dir).df, 17500, 2500).select("row", "col", _r("std"))
 
@@ -377,20 +372,89 @@ def axis_step(spark, sf_dir):
     return ensure_shipped(spark).createDataFrame([(grid_step((np.arange(0, 360, 0.25) + 100) % 360),)], "step double")
 
 
-@_query("dir_roundtrip", f"WITH {_PX} SELECT row, col, CASE WHEN (row * 64 + col) % 11 = 0 THEN NULL ELSE ((row * 64 + col) % 1000)::DOUBLE END AS value FROM px WHERE row < 50")
+@_query("dir_roundtrip", f"WITH {_PX} SELECT row, col, CASE WHEN (row * 64 + col) % 11 = 0 THEN NULL ELSE ((row * 64 + col) % 1000)::DOUBLE END AS value, round(90 - row * 180.0::DOUBLE / (n - 1), 3) AS lat, round(-180 + col * 5.625::DOUBLE, 3) AS lon FROM px")
 def dir_roundtrip(spark, sf_dir):
     from .sources.surfex import read_surfex
 
-    at = (ensure_shipped(spark).conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/") + "/dem"
-    i = np.arange(50 * COLS)
+    n = _table(spark, sf_dir, "embeddings").count()
+    at = f"{shared_folder(ensure_shipped(spark))}/dem"
+    i = np.arange(n * COLS)
     body = np.where(i % 11 == 0, -32768, i % 1000).astype("i2")
     jvm = spark._jvm.org.apache.hadoop.fs
     fs = jvm.Path(at).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name, data in (("dem.hdr", b"nodata: -32768\nnorth: 90\nsouth: 72\nwest: -180\neast: 180\nrows: 50\ncols: 64\nrecordtype: integer 16 bits\n"), ("dem.dir", body.tobytes())):
+    header = f"nodata: -32768\nnorth: 90\nsouth: -90\nwest: -180\neast: 174.375\nrows: {n}\ncols: {COLS}\nrecordtype: integer 16 bits\n"
+    for name, data in (("dem.hdr", header.encode()), ("dem.dir", body.tobytes())):
         out = fs.create(jvm.Path(f"{at}/{name}"), True)
         out.write(bytearray(data))
         out.close()
-    return read_surfex(spark, f"{at}/dem.hdr", f"{at}/dem.dir").df.select("row", "col", "value")
+    return read_surfex(spark, f"{at}/dem.hdr", f"{at}/dem.dir").df.select("row", "col", "value", _r("lat", 3), _r("lon", 3))
+
+
+@_query("sea_zeroed", f"WITH {_PX} SELECT row, col, round(CASE WHEN cover BETWEEN 4 AND 23 THEN z ELSE 0 END, 6) AS value FROM px")
+def sea_zeroed(spark, sf_dir):
+    df = _raster(spark, sf_dir).df.withColumn("nature", (1 + F.pmod(F.col("row") * COLS + F.col("col"), F.lit(33))).between(4, 23).cast("int"))
+    return terrain.zero_sea(df).select("row", "col", _r("value"))
+
+
+@_query("zoom_box", f"WITH {_PX} SELECT row, col FROM px WHERE NOT hole AND lon BETWEEN -30 AND 60 AND lat BETWEEN 50 AND 70")
+def zoom_box(spark, sf_dir):
+    return assembly.zoomed(_raster(spark, sf_dir, "holes").df, (-30.0, 60.0, 50.0, 70.0)).select("row", "col")
+
+
+@_query("open_box", f"WITH {_PX} SELECT row, col FROM px WHERE lon > -30 AND lon < 60 AND lat > 50 AND lat < 70")
+def open_box(spark, sf_dir):
+    return assembly.inside_open(_raster(spark, sf_dir).df, (-30.0, 60.0, 50.0, 70.0)).select("row", "col")
+
+
+@_query("longitude_convention", f"WITH {_PX} SELECT row, col, round(((lon % 360) + 360) % 360, 6) AS turned, round(lon, 6) AS centred FROM px")
+def longitude_convention(spark, sf_dir):
+    df = _raster(spark, sf_dir).df
+    turned = df.withColumn("turned", match_convention(F.col("lon"), 359.0))
+    return turned.select("row", "col", _r("turned"), F.round(match_convention(F.col("turned"), 180.0), 6).alias("centred"))
+
+
+@_query("celsius", "SELECT event_id, round(value - 273.15, 6) AS value FROM events")
+def celsius(spark, sf_dir):
+    return assembly.celsius(_table(spark, sf_dir, "events").select("event_id", "value"), ["value"]).select("event_id", _r("value"))
+
+
+@_query("accumulated", "SELECT event_id, round(value - lag(value, 6) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS value_diff FROM events")
+def accumulated(spark, sf_dir):
+    d = _table(spark, sf_dir, "events").withColumn("time", F.struct("ts", "event_id"))
+    return assembly.accumulated_difference(d, "value", 6, ["user_id"]).select("event_id", _r("value_diff"))
+
+
+@_query("stacked_features", "SELECT l_orderkey, l_linenumber, 'raw_' || variable AS variable, value FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_tax FROM lineitem) UNPIVOT (value FOR variable IN (l_quantity, l_tax))")
+def stacked_features(spark, sf_dir):
+    d = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    return assembly.stacked(assembly.prefixed(d, "raw", ["l_orderkey", "l_linenumber"]), ["l_orderkey", "l_linenumber"])
+
+
+@_query("legacy_cropped", f"WITH {_PX} SELECT row, col FROM px WHERE lat BETWEEN 54.0 AND 66.0 AND lon BETWEEN 0.0 AND 30.0")
+def legacy_cropped(spark, sf_dir):
+    """The older crop without a radius: a degree all around, in longitude too."""
+    r = _raster(spark, sf_dir)
+    own = windows.legacy_crop(r.lats, r.lons, np.array([55.0, 65.0]), np.array([1.0, 29.0]))
+    return windows.pruned(r.df, *own).select("row", "col")
+
+
+@_query("tile_counts", f"WITH {_PX} SELECT row // 40 AS tile_row, col // 24 AS tile_col, count(*) AS pixels FROM px GROUP BY 1, 2")
+def tile_counts(spark, sf_dir):
+    found = _raster(spark, sf_dir).df.groupBy(tile_id(40, 24).alias("tile")).agg(F.count("*").alias("pixels"))
+    return found.select(F.col("tile.r").alias("tile_row"), F.col("tile.c").alias("tile_col"), "pixels")
+
+
+@_query("land_similarity", "SELECT round(corr(l_quantity, l_extendedprice), 9) AS corr FROM lineitem WHERE l_linenumber = 1")
+def land_similarity(spark, sf_dir):
+    """Correlations over rows without sea only (line numbers stand for sea)."""
+    d = _table(spark, sf_dir, "lineitem").withColumn("SFX.FRAC_SEA", F.col("l_linenumber") - 1)
+    return features.correlations(features.land_only(d), ["l_quantity", "l_extendedprice"]).where("a = 'l_quantity' and b = 'l_extendedprice'").select(_r("corr", 9))
+
+
+@_query("recipe_dates", "SELECT date, c_custkey AS point_idx, c_acctbal AS sea FROM customer, (SELECT unnest(generate_series(TIMESTAMP '1979-01-01', TIMESTAMP '2027-01-01', INTERVAL 8760 HOURS)) AS date) WHERE c_nationkey = 3")
+def recipe_dates(spark, sf_dir):
+    d = _table(spark, sf_dir, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("point_idx"), F.col("c_acctbal").alias("sea"))
+    return recipe.repeated(d, recipe.dates(spark)).select("date", "point_idx", "sea")
 
 
 @_query("tile_sums", f"WITH {_PX}, m AS (SELECT *, sum(w * z) OVER (PARTITION BY cell) / sum(w) OVER (PARTITION BY cell) AS mu FROM cell) SELECT cell, round(any_value(mu), 6) AS mean, count(*) AS source_count FROM m GROUP BY cell")

@@ -74,6 +74,68 @@ def test_pruned_equals_full_for_both_projections(spark):
         assert windows.selected_share(r, rows, cols) < 1
 
 
+def test_windows_hold_every_pixel_inside(spark):
+    """Against brute force: polar and conic grids, both hemispheres, with the apex inside, outside, and across the date line."""
+    lats, lons = -90 + (np.arange(90) + 0.5) * 2, -180 + (np.arange(120) + 0.5) * 3
+    lon, lat = (x.ravel() for x in np.meshgrid(lons, lats))
+    cases = [(("stere", s * 90.0, lon0), x0, y0) for s in (1, -1) for lon0 in (-30.0, 170.0) for x0, y0 in ((-500000.0, 500000.0), (900000.0, 2500000.0), (-3000000.0, -900000.0), (-400000.0, -1500000.0))]
+    cases += [(("lcc", s * 50.0, lon0, 6371000.0, s * 45.0, s * 60.0), x0, y0) for s in (1, -1) for lon0 in (10.0, 178.0) for x0, y0 in ((-500000.0, 500000.0), (900000.0, 1500000.0))]
+    pruned = 0
+    for p, x0, y0 in cases:
+        g = Grid(Projection(*p), x0, 150000.0, 8, y0, -150000.0, 7)
+        with np.errstate(all="ignore"):
+            x, y = g.projection.forward(lon, lat)
+        xmin, ymin, xmax, ymax = g.extent
+        inside = ((x >= xmin) & (x <= xmax) & (y >= ymin) & (y <= ymax)).reshape(90, 120)
+        rows, cols = windows.source_windows(g, lats, lons)
+        kept = np.zeros_like(inside)
+        for a, b in rows:
+            for c, d in cols:
+                kept[a : b + 1, c : d + 1] = True
+        assert inside.any() and not (inside & ~kept).any(), (p, x0, y0)
+        pruned += kept.mean() < 0.25
+    assert pruned > len(cases) * 0.7
+    assert windows.widened([(0, 2), (5, 6)], 10, True) == [(0, 7), (9, 9)] and windows.widened([(0, 2)], 10) == [(0, 3)]
+
+
+@pytest.mark.parametrize("radius_m", [None, 300000.0])
+def test_slope_mode_prunes_and_equals_the_full_scan(spark, tmp_path, radius_m):
+    r = raster(spark, lambda i, j, *_: float((i * 31 + j * j * 7) % 50) if (i + j) % 9 else float("nan"), n=60, m=72)
+    r.df.repartition(2).write.parquet(str(tmp_path / "px"))
+    r = r.with_df(spark.read.parquet(str(tmp_path / "px")))
+    g = Grid(Projection("stere", 90.0, -30.0), 500000.0, 200000.0, 6, -1200000.0, -200000.0, 6)
+    a, b = (plan.aggregate(r, g, "slope", prune=p, radius_m=radius_m) for p in (True, False))
+    key = lambda df: [(x.cell, x.source_count, x.valid_count, x.slope_x and round(x.slope_x, 12), x.slope_y and round(x.slope_y, 12)) for x in df.orderBy("cell").collect()]
+    assert key(a) == key(b) and any(x[2] for x in key(a))
+    text = a._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row," in text
+
+
+def test_std_merges_rows_as_one_pass(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(c), float(w), None if rng.random() < 0.2 else float(1e6 + rng.normal())) for c in range(6) for w in rng.integers(1, 5, 40)] + [(9, 1.0, None)]
+    from terragrid.operators import stats
+
+    got = {r.cell: r for r in stats.summarise(spark.createDataFrame(rows, "cell long, weight double, value double"), "std").collect()}
+    for c in range(6):
+        w, v = (np.array([x[i] for x in rows if x[0] == c and x[2] is not None]) for i in (1, 2))
+        mean = (w * v).sum() / w.sum()
+        assert abs(got[c]["mean"] - mean) < 1e-6 and abs(got[c]["std"] - np.sqrt((w * (v - mean) ** 2).sum() / w.sum())) < 1e-8
+        assert got[c].valid_count == len(v) and got[c].source_count == 40
+    assert got[9]["std"] is None and got[9].valid_count == 0 and got[9].source_count == 1
+
+
+def test_older_crop_has_a_degree_or_the_radius():
+    lats, lons = np.arange(-89.5, 90), np.arange(-179.5, 180)
+    rows, cols = windows.legacy_crop(lats, lons, np.array([60.0, 70.0]), np.array([10.0, 20.0]))
+    assert (lats[rows[0][0]], lats[rows[0][1]], lons[cols[0][0]], lons[cols[0][1]]) == (59.5, 70.5, 9.5, 20.5)
+    _, cols = windows.legacy_crop(lats, lons, np.array([60.0, 70.0]), np.array([10.0, 20.0]), radius_m=500000.0)
+    wide = np.degrees(500000 / 6371000) / np.cos(np.radians(70))
+    assert lons[cols[0][0]] >= 10 - wide > lons[cols[0][0]] - 1
+    with pytest.raises(ValueError):
+        windows.legacy_crop(lats[:10], lons, np.array([60.0]), np.array([10.0]))
+
+
 def test_radius_join_equals_brute_force(spark):
     r = raster(spark, lambda i, j, *_: float(i), n=12, m=36)
     t = spark.createDataFrame([(k, -20.0 + 37 * k, 52.0 + 5 * k) for k in range(7)], "cell long, lon double, lat double")
@@ -118,7 +180,7 @@ def test_points_errors_and_lattice(spark):
     assert (g.nx, g.ny) == (8, 8)
     ok = cells.select(F.col("cell").alias("point_idx"), "lat", "lon")
     assert {r["cell"] for r in GRID.select_points(ok).collect()} == {i * 11 for i in range(8)}
-    for bad, text in ((ok.withColumn("lat", F.col("lat") - 0.1), "align"), (ok.unionByName(ok), "multiple"), (ok.where("false"), "no points"), (ok.withColumn("lat", F.lit(float("nan"))), "transformed")):
+    for bad, text in ((ok.withColumn("lat", F.col("lat") - 0.1), "align"), (ok.unionByName(ok), "multiple"), (ok.where("false"), "no points"), (ok.withColumn("lat", F.lit(float("nan"))), "no place")):
         with pytest.raises(ValueError, match=text):
             GRID.select_points(bad)
     with pytest.raises(ValueError, match="spacing"):
@@ -195,7 +257,7 @@ def test_nearest_settles_far_pixels(spark):
 
 def test_knn_covers_every_pixel(spark):
     n = queries._raster(spark, SF).df.select("row").distinct().count()
-    got = queries.queries()["knn_k8_all"](spark, SF).toPandas()
+    got = queries.queries()["knn_k8"](spark, SF).toPandas()
     i = np.arange(300)
     unit = lambda lat, lon: np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat) + 0 * lon], -1)
     targets = unit(np.radians(-60 + i * 37 % 120), np.radians(-180 + i * 83 % 360))
@@ -226,6 +288,9 @@ def test_small_helpers(spark, tmp_path):
         recipe.statistics(df, ["v"])
     with pytest.raises(ValueError):
         recipe.joined([df, df.where("k = 1")], "k")
+    with pytest.raises(ValueError, match="lack"):
+        recipe.joined([df, df.where("k = 1").withColumnRenamed("v", "w")], "k")
+    assert recipe.joined([df, df.withColumnRenamed("v", "w")], "k").columns == ["k", "v", "w"]
     output.write_result(df, str(tmp_path / "out"), {"mode": "mean"}, undefined="nan", sort=["k"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     assert recipe.dates(spark).count() == 49
