@@ -38,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/") if at else f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def written(df: DataFrame, tag: str, block: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back; ``block``: bytes of rows a writer holds at once.
 
     The lineage ends here: a lost executor costs a reread, not a recomputation.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", block) if block else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,8 +54,8 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)).cast("int")
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Record batches cut so that each holds about SLICE_BYTES of text at most."""
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that each holds about ``most`` bytes of text at most."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -64,7 +64,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
         size = pc.fill_null(size, 0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i in range(n):
-            if i > start and (total + size[i] > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (total + size[i] > most or i - start >= SLICE_ROWS):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += int(size[i])

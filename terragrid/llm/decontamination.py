@@ -32,6 +32,8 @@ from .common import batch_of, column, few, runs, slices, table, written
 WINDOW, RATIO = 13, 20
 #: Empty positions between documents of a segment.
 GAP = 1024
+#: Text bytes of a segment (a longer text is one), bytes of segments that a writer holds at once.
+SEGMENT_BYTES, WRITER_BYTES = 1 << 20, 16 << 20
 #: UTF-8 bytes of test texts searched at once; more are searched in blocks of this size, and words of an item above which it is several rows.
 BLOCK_BYTES, PART_WORDS = 8 << 20, 1 << 17
 _KEPT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -95,18 +97,18 @@ def postings(texts: list[str | None]) -> tuple:
 def build_index(docs: DataFrame) -> DataFrame:
     """The stored index of ``docs``: one row per segment, written to the shared folder.
 
-    A segment is what a task reads at once (some MB of text); a longer text
+    A segment is what a task reads at once (a MB of text); a longer text
     forms its own.  A column ``key`` (long) is kept beside doc_id, if there.
     """
     key = F.col("key") if "key" in docs.columns else F.lit(None)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        for part in slices(batches):
+        for part in slices(batches, most=SEGMENT_BYTES):
             yield batch_of(INDEX, [number], *([x] for x in (column(part, "doc_id"), column(part, "key"), *postings(column(part, "text")))))
             number += 1
 
-    return written(docs.select(F.col("doc_id").cast("long"), key.cast("long").alias("key"), "text").mapInArrow(run, INDEX_DDL), "postings")
+    return written(docs.select(F.col("doc_id").cast("long"), key.cast("long").alias("key"), "text").mapInArrow(run, INDEX_DDL), "postings", WRITER_BYTES)
 
 
 class Segment:
