@@ -45,7 +45,10 @@ def written(df: DataFrame, tag: str, block: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    (df.write.option("parquet.block.size", block) if block else df.write).parquet(path)
+    out = df.write
+    if block:  # rows are large: by default a writer looks at its size after 100 rows only
+        out = out.options(**{"parquet.block.size": block, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
+    out.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
