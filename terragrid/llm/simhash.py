@@ -127,10 +127,12 @@ def one_of_each(docs: DataFrame, width: int = near_copies.WIDTH) -> DataFrame:
     # Rows are ordered as arrays: (id is null, id, hashes).  Both aggregates combine on the map side, so a hot set costs a row a task.
     least = rows.groupBy("sid").agg(F.min("row").alias("row")).join(few(roots.select(F.col("node").alias("sid"), "root")), "sid", "left")
     best = least.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("row").alias("row")).select("row", F.slice("row", 3, 2).alias("__row"))
-    best = written(best, "kept")
-    again = rows.select(F.slice("row", 3, 2).alias("__row")).join(few(best.select("__row")), "__row", "left_semi")
-    again = written(again.groupBy("__row").count().where("count > 1").select("__row"), "again")
-    kept = keyed.join(few(best.select("__row")), "__row", "left_semi")
+    # What goes is less than what stays, and so is the side that is sent: rows that go, and kept rows that occur again.
+    held = rows.select(F.slice("row", 3, 2).alias("__row")).groupBy("__row").count()
+    marks = held.join(best.select("__row", F.lit(True).alias("stays")), "__row", "left").where("stays is null or count > 1")
+    marks = written(marks.select("__row", F.col("stays").isNotNull().alias("stays")), "marks")
+    again = marks.where("stays").select("__row")
+    kept = keyed.join(few(marks.where("not stays").select("__row")), "__row", "left_anti")
     if not again.isEmpty():
         some = few(again)
         kept = kept.join(some, "__row", "left_anti").unionByName(kept.join(some, "__row", "left_semi").dropDuplicates(["__row"]))  # rows of one key are equal
