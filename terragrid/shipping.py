@@ -1,4 +1,4 @@
-"""Sends the package to Python workers that cannot import it by themselves."""
+"""Readies a session for Python workers: they get the package, in batches of bounded size."""
 
 from __future__ import annotations
 
@@ -9,10 +9,14 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SENT: set[str] = set()
+#: Bytes of an Arrow batch sent to a Python worker, where the session leaves Spark's default of 64 MB.
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
 
 
 def ensure_shipped(spark: SparkSession) -> SparkSession:
-    """Adds a zip of this package to the session's Python files, once an application."""
+    """Adds a zip of this package to the session's Python files, once an application; bounds Arrow batches unless the session does."""
+    if spark.conf.get(BATCH_KEY, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _SENT:
         top = Path(__file__).resolve().parent
