@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import batch_of, column, crc_mod, per_text, table
 
-#: Labelled documents used for training at most (smallest hashes of their ids), and windows taken from each.
-FIT_DOCS, FIT_WINDOWS = 3000, 6
-#: Bytes of a window, state size, training steps, windows in a step, learning rate.
+#: Labelled documents used for training at most, and bytes of their texts: by the hash of their ids, whole texts that fit into what is left.
+FIT_DOCS, FIT_BYTES = 3000, 2 << 20
+#: Bytes of a window, state size, least training steps, windows in a step, learning rate.
 STEPS, STATE, ROUNDS, BATCH, RATE = 48, 8, 200, 160, 0.03
 #: Windows scored at once.
 RUN = 1536
@@ -119,12 +119,16 @@ class BiGru:
         return loss, g
 
     def train(self, codes: np.ndarray, target: np.ndarray, rounds: int = ROUNDS, batch: int = BATCH, rate: float = RATE, seed: int = 11) -> float:
-        """Adam over random batches; gives the last steps' mean loss."""
+        """Adam over batches in random order, every window once before any is seen again; gives the last steps' mean loss."""
         rng = np.random.default_rng(seed)
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        rounds = max(rounds, -(-len(codes) // batch)) if len(codes) else 0
+        order = np.zeros(0, np.int64)
         losses = [0.0]
-        for i in range(1, rounds + 1 if len(codes) else 1):
-            at = rng.integers(0, len(codes), batch)
+        for i in range(1, rounds + 1):
+            while len(order) < batch:
+                order = np.concatenate([order, rng.permutation(len(codes))])
+            at, order = order[:batch], order[batch:]
             loss, g = self.train_step(codes[at], target[at])
             norm = float(np.sqrt(sum((x * x).sum() for x in g.values())))
             lr = rate * min(1, i / 20) * (0.5 * (1 + np.cos(np.pi * i / (rounds + 1))))
@@ -139,17 +143,7 @@ class BiGru:
     def documents(self, texts: list[str | None]) -> np.ndarray:
         """(n, L) pooled probabilities: the mean over all positions of each text; zero for an empty one."""
         raw = [(x or "").encode() for x in texts]
-        windows = np.array([-(-len(x) // STEPS) for x in raw], np.int64)
-        owner = np.repeat(np.arange(len(raw)), windows)
-        codes = np.full((int(windows.sum()), STEPS), PAD, np.int16)
-        lengths = np.zeros(len(owner), np.int64)
-        at = 0
-        for x, n in zip(raw, windows, strict=True):
-            if n:
-                codes[at : at + n].reshape(-1)[: len(x)] = np.frombuffer(x, np.uint8)
-                lengths[at : at + n] = STEPS
-                lengths[at + n - 1] = len(x) - (n - 1) * STEPS
-                at += n
+        codes, owner, lengths = windows_of(raw)
         out = np.zeros((len(raw), len(self.labels)))
         for i in range(0, len(owner), RUN):
             q = self.label_positions(codes[i : i + RUN])
@@ -158,40 +152,47 @@ class BiGru:
         return out / np.maximum(1, [[len(x)] for x in raw])
 
 
-def windows_of(text: str, doc_id: int, most: int) -> np.ndarray:
-    """Up to ``most`` windows spread over a whole text, at places its id decides."""
-    raw = text.encode()
-    n = min(most, -(-len(raw) // STEPS))
-    out = np.full((n, STEPS), PAD, np.int16)
-    rng = np.random.default_rng(abs(doc_id))
-    for k in range(n):
-        a, b = len(raw) * k // n, max(len(raw) * (k + 1) // n - STEPS, len(raw) * k // n)
-        at = int(rng.integers(a, b + 1))
-        cut = raw[at : at + STEPS]
-        out[k, : len(cut)] = np.frombuffer(cut, np.uint8)
+def windows_of(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of whole texts: codes (windows, STEPS), the text each is of, and the bytes in it."""
+    windows = np.array([-(-len(x) // STEPS) for x in raw], np.int64)
+    owner = np.repeat(np.arange(len(raw)), windows)
+    codes = np.full((int(windows.sum()), STEPS), PAD, np.int16)
+    lengths = np.full(len(owner), STEPS, np.int64)
+    at = 0
+    for x, n in zip(raw, windows, strict=True):
+        if n:
+            codes[at : at + n].reshape(-1)[: len(x)] = np.frombuffer(x, np.uint8)
+            lengths[at + n - 1] = len(x) - (n - 1) * STEPS
+            at += n
+    return codes, owner, lengths
+
+
+def fitting(sizes: list[int], most: int) -> list[int]:
+    """Which of ``sizes``, in order, are taken: those that fit into what is left of ``most``."""
+    out = []
+    for i, n in enumerate(sizes):
+        if n <= most:
+            out.append(i)
+            most -= n
     return out
 
 
-def learn(docs: DataFrame, docs_bound: int = FIT_DOCS, rounds: int = ROUNDS) -> BiGru:
-    """A network trained on at most ``docs_bound`` labelled documents that are not held out."""
-    usable = docs.where("doc_id is not null and lang is not null and text is not null").where(crc_mod(F.col("doc_id"), 4) != 2)
-    ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs_bound)
-    texts = usable.select(F.col("doc_id").cast("long"), "text", "lang").join(F.broadcast(ids), "doc_id", "left_semi")  # bounded by docs_bound
-
-    def make():
-        def step(batch):
-            found = [windows_of(x, i, FIT_WINDOWS).astype("<i2").tobytes() for i, x in zip(column(batch, "doc_id"), column(batch, "text"), strict=True)]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang": batch.column(2), "w": pa.array(found, pa.binary())})
+def learn(docs: DataFrame, docs_bound: int = FIT_DOCS, rounds: int = ROUNDS, most: int = FIT_BYTES) -> BiGru:
+    """A network trained on whole texts of labelled documents that are not held out: ``docs_bound`` and ``most`` bytes at most.
 
-        return step
-
-    got = sorted(per_text(texts, make, "doc_id long, lang string, w binary").collect())
-    labels = sorted({r.lang for r in got})
+    Rows of one id with equal texts and labels count once; what reaches the
+    driver is bounded by the two limits, however often an id occurs.
+    """
+    usable = docs.where("doc_id is not null and lang is not null and text is not null").where(crc_mod(F.col("doc_id"), 4) != 2)
+    usable = usable.select(F.col("doc_id").cast("long"), "lang", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
+    first = usable.select("doc_id", "lang", "hash", "size").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "hash", "size").limit(docs_bound).collect()
+    chosen = [first[i] for i in fitting([r["size"] for r in first], most)]
+    keys = F.broadcast(docs.sparkSession.createDataFrame([(r.doc_id, r.lang, r.hash) for r in chosen], "doc_id long, lang string, hash long"))  # bounded by docs_bound
+    got = sorted((r.doc_id, r.lang, r.text) for r in usable.select("doc_id", "lang", "hash", "text").join(keys, ["doc_id", "lang", "hash"], "left_semi").dropDuplicates(["doc_id", "lang", "hash"]).collect())
+    labels = sorted({lang for _, lang, _ in got})
     net = BiGru(labels)
-    parts = [np.frombuffer(r.w, "<i2").reshape(-1, STEPS) for r in got]
-    codes = np.concatenate(parts) if parts else np.zeros((0, STEPS), np.int16)
-    target = np.repeat([labels.index(r.lang) for r in got], [len(x) for x in parts]) if parts else np.zeros(0, int)
-    net.train(codes, target, rounds)
+    codes, owner, _ = windows_of([text.encode() for *_, text in got])
+    net.train(codes, np.array([labels.index(lang) for _, lang, _ in got], np.int64)[owner], rounds)
     return net
 
 

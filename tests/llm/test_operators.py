@@ -50,6 +50,23 @@ def test_language_learns_and_handles_odd_rows(spark, odd, none):
     assert bigru.language_id(none, rounds=3).count() == 0
 
 
+def test_training_reads_whole_texts_within_its_bounds():
+    raw = [b"a" * 100, b"", b"b" * bigru.STEPS, bytes(range(1, 200)) * 50_000]
+    codes, owner, lengths = bigru.windows_of(raw)
+    for i, x in enumerate(raw):
+        assert b"".join(bytes(c[:n].astype(np.uint8)) for c, n in zip(codes[owner == i], lengths[owner == i], strict=True)) == x
+    assert bigru.fitting([5, 9, 3, 3, 0, 2], 10) == [0, 2, 4, 5]
+    assert bigru.fitting([], 10) == bigru.fitting([1], 0) == []
+
+
+def test_language_training_counts_repeated_rows_once(spark):
+    rows = [(1, "der die das und", "de")] * 300 + [(1, "the of and to", "en"), (3, "the and a of", "en"), (4, "", "de"), (6, "x " * 4000, "fr"), (5, "held out", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    assert bigru.learn(docs, rounds=1, most=100).labels == ["de", "en"]  # the long text does not fit
+    assert bigru.learn(docs, rounds=1).labels == ["de", "en", "fr"]
+    assert bigru.learn(docs, docs_bound=0, rounds=1).labels == []
+
+
 def test_network_gradients_match_differences():
     net = bigru.BiGru(["a", "b", "c"], state=3)
     net.p = {k: v.astype(float) for k, v in net.p.items()}
