@@ -74,6 +74,16 @@ def mean_abs_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     return correlations(df, columns).where("a <> b").groupBy(F.col("a").alias("variable")).agg(F.avg(F.abs("corr")).alias("mean_abs_corr"))
 
 
+def correlation_within(df: DataFrame, groups: dict[int, list[str]]) -> DataFrame:
+    """(cluster, variable, mean_abs_corr) by the other variables of each group; null for one alone.  All groups in one pass."""
+    rows = [(k, c) for k, own in groups.items() for c in own]
+    of = df.sparkSession.createDataFrame(rows, "cluster int, variable string")  # a row a variable
+    every = sorted({c for _, c in rows})
+    pairs = correlations(df, every).where("a <> b").join(of.withColumnRenamed("variable", "a"), "a").join(of.select(F.col("cluster").alias("k"), F.col("variable").alias("b")), "b").where("cluster = k")
+    means = pairs.groupBy("cluster", F.col("a").alias("variable")).agg(F.avg(F.abs("corr")).alias("mean_abs_corr"))
+    return of.join(means, ["cluster", "variable"], "left")
+
+
 def average_linkage(distance: np.ndarray, cut: float = 0.3) -> list[int]:
     """Cluster numbers (from 1, by first member) of average-linkage clustering cut at a distance; the matrix is symmetrised first."""
     d = (np.asarray(distance, float) + np.asarray(distance, float).T) / 2

@@ -113,3 +113,42 @@ def planar_radius(pixels: DataFrame, grid: Grid, max_radius_m: float) -> DataFra
     near = F.hypot(F.col("_x") - (xmin + (F.col("_c") + 0.5) * dx), F.col("_y") - (ymax - (F.col("_r") + 0.5) * dy)) <= max_radius_m
     inside = (F.col("_c") >= 0) & (F.col("_c") < grid.nx) & (F.col("_r") >= 0) & (F.col("_r") < grid.ny)
     return _drop(p.where(inside & near).withColumn("cell", F.col("_r") * grid.nx + F.col("_c")))
+
+
+def clipped(pairs: DataFrame, radius_m: float) -> DataFrame:
+    """Matches (lon, lat, tlon, tlat) no farther apart than a WGS84 geodesic radius, end included."""
+    away = geodesic_distance()(F.col("lon"), F.col("lat"), F.col("tlon"), F.col("tlat"))
+    return pairs.withColumn("_m", away).where(F.col("_m") <= radius_m).drop("_m")
+
+
+#: Halvings of the extent in the search for the closest pair.
+LEVELS = 40
+
+
+def closest_spacing(points: DataFrame) -> float | None:
+    """The least distance between two of the points (x, y); None with fewer than two, an error if two coincide.
+
+    The extent is halved until no cell holds two points; one step above that, a
+    cell holds four at most and the closest pair lies two cells apart at most.
+    So no task compares many points, however they are clustered.
+    """
+    own = stored(points.select(F.col("x").cast("double"), F.col("y").cast("double")).where("x is not null and y is not null and not isnan(x) and not isnan(y)"), "points")
+    w = own.agg(F.count("*").alias("n"), F.min("x").alias("x"), F.min("y").alias("y"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("size")).first()
+    if w.n < 2:
+        return None
+    if not own.groupBy("x", "y").count().where("count > 1").isEmpty():
+        raise ValueError("two points coincide")
+    cell = lambda v, at, size: F.floor((F.col(v) - at) / size).cast("long")
+    size = w["size"] / F.pow(F.lit(2.0), F.col("level"))
+    held = own.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).groupBy("level", cell("x", w.x, size).alias("i"), cell("y", w.y, size).alias("j")).count()
+    level = held.where("count > 1").agg(F.max("level")).first()[0]
+    width = w["size"] if level is None else w["size"] / 2.0**level
+    placed = own.withColumns({"i": cell("x", w.x, width), "j": cell("y", w.y, width)})
+    around = lambda k: F.explode(F.sequence(F.col(k) - 2, F.col(k) + 2))
+    other = placed.select(F.col("x").alias("x2"), F.col("y").alias("y2"), around("i").alias("i"), "j").withColumn("j", around("j"))
+    return placed.join(other, ["i", "j"]).where("x <> x2 or y <> y2").agg(F.min(F.hypot(F.col("x") - F.col("x2"), F.col("y") - F.col("y2")))).first()[0]
+
+
+def marker_area(spacing: float, dpi: float) -> float:
+    """Area in square points of the largest marker that leaves a twentieth of the closest spacing (in dots) free."""
+    return (0.95 * spacing * 72 / dpi) ** 2

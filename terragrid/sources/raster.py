@@ -109,3 +109,21 @@ def find_latlon_2d(shapes: dict[str, int]) -> tuple[str, str]:
 def tile_id(rows: int, cols: int):
     """The tile (a ``rows`` x ``cols`` block) of a pixel, as a Column."""
     return F.struct((F.col("row") / rows).cast("long").alias("r"), (F.col("col") / cols).cast("long").alias("c"))
+
+
+def tile_shape(max_pixels: int, cols: int) -> tuple[int, int]:
+    """Rows and columns of the largest tile of ``max_pixels``: whole rows if one fits, else part of one."""
+    if max_pixels < 1 or cols < 1:
+        raise ValueError("a tile has a pixel at least")
+    return max(1, max_pixels // cols), min(cols, max_pixels)
+
+
+def tile_count(windows: list[tuple[int, int, int, int]], shape: tuple[int, int]) -> int:
+    """Tiles of windows (first row, end row, first column, end column), each window cut from its own corner."""
+    return sum(-(-max(0, b - a) // shape[0]) * -(-max(0, d - c) // shape[1]) for a, b, c, d in windows)
+
+
+def spatial_variables(ranks: dict[str, tuple[str, ...]], types: dict[str, str], horizontal: tuple[str, ...]) -> list[str]:
+    """Names of the numeric variables that have all ``horizontal`` dimensions, in order of the file."""
+    numeric = ("byte", "short", "int", "long", "float", "double", "decimal")
+    return [k for k, dims in ranks.items() if set(horizontal) <= set(dims) and types[k].split("(")[0] in numeric]
