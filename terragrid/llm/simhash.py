@@ -83,7 +83,8 @@ def hamming_links(found: DataFrame, hot: int = HOT) -> DataFrame:
     crowded = stored.groupBy("seg", "key").count().where(F.col("count") > hot).select("seg", "key", F.lit(True).alias("hot"))
     marked = stored.join(crowded, ["seg", "key"], "left")
     slots = marked.where("hot is null").select("seg", "key", F.col("fp").alias("v")).unionByName(crowded.select("seg", "key", F.lit(None).cast("long").alias("v")))
-    fetched = written(probes.join(slots, ["seg", "key"]).where(F.expr("v is null or (u < v and bit_count(u ^ v) <= 2)")).select("u", "v").distinct(), "links")
+    # Spark counts an exploded array as one row, so by its estimate the probes, 34 a fingerprint, would be broadcast; they are dealt out.
+    fetched = written(probes.hint("merge").join(slots, ["seg", "key"]).where(F.expr("v is null or (u < v and bit_count(u ^ v) <= 2)")).select("u", "v").distinct(), "links")
     rest = fetched.where("v is null").select(F.col("u").alias("fp"))
     keys = rest.select("fp", F.explode(F.expr("transform(sequence(-1, 63), i -> fp ^ if(i < 0, 0L, shiftleft(1L, i)))")).alias("key"))
     stars = keys.select(F.min("fp").over(Window.partitionBy("key")).alias("u"), F.col("fp").alias("v")).where("u < v").distinct()

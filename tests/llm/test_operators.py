@@ -270,6 +270,14 @@ def test_hamming_links_join_all_near_fingerprints(spark):
         assert classes((r.u, r.v) for r in simhash.hamming_links(df, hot).collect()) == want
 
 
+def test_hamming_links_never_broadcast_probes(spark, tmp_path, monkeypatch):
+    spark.range(3000).selectExpr("xxhash64(id) as fp").write.parquet(f"{tmp_path}/fps")
+    plans = []
+    monkeypatch.setattr(simhash, "written", lambda df, tag: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or df)
+    simhash.hamming_links(spark.read.parquet(f"{tmp_path}/fps"))
+    assert "SortMergeJoin" in plans[0] and ", Inner, Build" not in plans[0]
+
+
 def kept_by_brute_force(texts, width=5):
     """Positions of one text of each component of 5-word Jaccard 0.8 or more (equal sets linked, no words one set); the first stays."""
     words = [(x or "").encode().lower().split() for x in texts]
