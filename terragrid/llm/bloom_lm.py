@@ -8,8 +8,9 @@ and the part has ENTRY_BITS bits for each.  Every n-gram is stored, at every
 size of the corpus.  A lookup probes level after level until one is missing.
 
 A filter of up to MOST_BITS bits is broadcast to the workers.  A larger one
-stays in its parts, and the documents' distinct n-grams are sent to them; the
-probes, and so the scores, are the same.
+stays in its parts, and the documents' distinct n-grams are sent to them, one of
+WAVES shares of the documents after another, so that disk holds the n-grams of
+one share only; the probes, and so the scores, are the same.
 
 ``score`` discounts and interpolates: p(w | u) = max(c(u w) - d, 0) / c(u) +
 m p(w) with the filter's counts, where d comes from the bigrams seen once and
@@ -25,6 +26,7 @@ distinct words, 3e-2 for a billion).
 
 from __future__ import annotations
 
+from functools import partial, reduce
 from itertools import repeat
 
 import numpy as np
@@ -35,12 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ensure_shipped
-from .common import column, crc_mod, runs, slices, table, written
+from .common import column, crc_mod, runs, scratch, slices, table, written
 
 #: Hash seed; bytes of text a hash block stands for, and least blocks; n-grams a task holds before it sends them.
 SEED, BLOCK_BYTES, LEAST_BLOCKS, HELD = 17, 64 << 20, 256, 1 << 22
 #: Bits of a filter that is broadcast at most, bits an entry gets, probes an entry has, least bits of a block.
 MOST_BITS, ENTRY_BITS, PROBES, LEAST_BITS = 1 << 30, 10, 4, 64
+#: Shares of the documents whose n-grams are sent one after another.
+WAVES = 8
 #: Words of the broadcast table of exact counts at most; additive smoothing.
 TABLE_WORDS, ALPHA = 1 << 20, 0.1
 #: Levels of counts that are told apart.
@@ -268,19 +272,25 @@ def learn(docs: DataFrame, most_bits: int = MOST_BITS, table_words: int = TABLE_
     return Model(bloom, row.asDict(), keys, exact, floor == 1, blocks), counts
 
 
-def partitioned_scores(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+def partitioned_scores(rows: DataFrame, model: Model, counts: DataFrame, waves: int = WAVES) -> DataFrame:
     """(row, score) by a filter that stays in its blocks: distinct n-grams of each slice go to their blocks, and their levels come back to the slice.
 
-    A slice is some MB of text, or one longer text; nothing else is held at once.
+    A slice is some MB of text, or one longer text; nothing else is held at
+    once.  Each of ``waves`` scans sends every so-many-th slice, and what it
+    sent is deleted when its scores are written.
     """
     blocks, light = model.blocks, Model(None, {k: 0 for k in ("tokens", "words", "once", "twice", "pairs")}, model.keys[:0], model.counts[:0], True, model.blocks)
     light.tokens, light.words, light.discount, light.mass = model.tokens, model.words, model.discount, model.mass
 
-    def asked(batches):
+    def asked(batches, wave):
         """Slices (their rows and where each word and bigram is among their distinct n-grams), and what they ask of each block."""
         number = TaskContext.get().partitionId() << 32
         at = TaskContext.get().partitionId() << 40
-        for part in slices(batches):
+        first = TaskContext.get().partitionId()
+        for k, part in enumerate(slices(batches)):
+            if (first + k) % waves != wave:
+                at += part.num_rows
+                continue
             h, sizes = hashes(column(part, "text"))
             distinct, which = np.unique(np.concatenate([h, bigrams(h, sizes)[1], [END]]), return_inverse=True)
             out = [(number, None, np.arange(at, at + len(sizes)).tobytes(), sizes.tobytes(), which.astype("<u4").tobytes())]
@@ -304,10 +314,17 @@ def partitioned_scores(rows: DataFrame, model: Model, counts: DataFrame) -> Data
         found, n = of[which], int(sizes.sum())
         return pa.table({"row": row, "score": light.score(found[:n], found[n : 2 * n], int(found[-1]), sizes)})
 
-    sent = written(rows.mapInArrow(asked, "slice long, block int, a binary, b binary, which binary"), "asked")
-    levels = sent.where("block is not null").select("slice", "block", "a", "b").groupBy("block").cogroup(counts.select("block", "bits").groupBy("block")).applyInArrow(answered, "slice long, a binary, levels binary")
-    own = sent.where("block is null").select("slice", "a", "b", "which").groupBy("slice")
-    return own.cogroup(levels.groupBy("slice")).applyInArrow(scored, "row long, score double")
+    ddl = "slice long, block int, a binary, b binary, which binary"
+    bits = counts.select("block", "bits").groupBy("block")
+    out = []
+    for wave in range(waves):
+        with scratch(rows.sparkSession):
+            sent = written(rows.mapInArrow(partial(asked, wave=wave), ddl), "asked")
+            levels = sent.where("block is not null").select("slice", "block", "a", "b").groupBy("block").cogroup(bits).applyInArrow(answered, "slice long, a binary, levels binary")
+            levels = written(levels, "levels")
+            own = sent.where("block is null").select("slice", "a", "b", "which").groupBy("slice")
+            out.append(written(own.cogroup(levels.groupBy("slice")).applyInArrow(scored, "row long, score double"), "scores", keep=True))
+    return reduce(DataFrame.unionByName, out)
 
 
 SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("block", pa.int32()), ("rows", pa.binary()), ("rare", pa.binary())])

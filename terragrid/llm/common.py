@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,17 +40,44 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/") if at else f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, tag: str, block: int | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back; ``block``: bytes of rows a writer holds at once.
+#: Folders written in the innermost open ``scratch``.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+#: Spark's setting by which a query's shuffle files go when it ends.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is written inside, but for steps marked ``keep``, when the block ends; results read later must not need the rest."""
+    token = _SCRATCH.set(paths := [])
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for x in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(x)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, tag: str, block: int | None = None, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back; ``block``: bytes of rows a writer holds at once; ``keep``: outlives a ``scratch``.
 
     The lineage ends here: a lost executor costs a reread, not a recomputation.
+    So the shuffle files of the step go when it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if not keep and (paths := _SCRATCH.get()) is not None:
+        paths.append(path)
     out = df.write
     if block:  # rows are large: by default a writer looks at its size after 100 rows only
         out = out.options(**{"parquet.block.size": block, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
-    out.parquet(path)
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        out.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP_KEY) if before is None else spark.conf.set(CLEANUP_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

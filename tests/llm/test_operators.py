@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -691,6 +692,14 @@ def test_what_is_broadcast_changes_no_score(spark):
     assert all(abs(a[i].score - b[i].score) < 1e-9 and abs(a[i].base_score - b[i].base_score) < 1e-9 and a[i].n_known == b[i].n_known for i in a) and len(a) == len(b) == 300
 
 
+def test_ngrams_sent_to_a_large_filter_are_deleted_share_by_share(spark):
+    docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(60)], "doc_id long, text string").repartition(3)
+    left = lambda: {p.name for tag in ("asked", "levels") for p in Path(common.shared_dir(spark)).glob(f"{tag}-*")}
+    before = left()
+    got = bloom_lm.lm_scores(docs, most_bits=0)
+    assert got.count() == 60 and left() == before
+
+
 def test_bloom_levels_are_never_too_low():
     rng = np.random.default_rng(4)
     h = rng.integers(0, 2**64, 5000, dtype=np.uint64)
