@@ -127,6 +127,19 @@ class LogBloom:
         sizes = np.array([8 * len(x) for x in own], np.uint64)
         return cls(np.frombuffer(b"".join(own), np.uint8), np.cumsum(sizes) - sizes, sizes)
 
+    @classmethod
+    def gathered(cls, counts: DataFrame, blocks: int) -> LogBloom:
+        """The filter of ``counts``; its parts come one partition at a time into the one array that is held."""
+        sizes = np.full(blocks, LEAST_BITS, np.uint64)
+        for block, n in counts.select("block", F.octet_length("bits")).collect():
+            sizes[block] = 8 * n
+        starts = np.cumsum(sizes) - sizes
+        bits = np.zeros(int(sizes.sum()) // 8, np.uint8)
+        for block, own in counts.select("block", "bits").toLocalIterator():
+            at = int(starts[block]) // 8
+            bits[at : at + len(own)] = np.frombuffer(own, np.uint8)
+        return cls(bits, starts, sizes)
+
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The level of every n-gram: probes go on while all of a level's bits are set."""
         out = np.zeros(len(h), np.int64)
@@ -268,7 +281,7 @@ def learn(docs: DataFrame, most_bits: int = MOST_BITS, table_words: int = TABLE_
     keys, exact = (np.frombuffer(b"".join(r[i] for r in made), t) for i, t in ((1, "<u8"), (2, "<i8")))
     bloom = None
     if 8 * row.bytes <= most_bits:
-        bloom = LogBloom.joined(dict(counts.select("block", "bits").collect()), blocks)  # most_bits / 8 bytes at most
+        bloom = LogBloom.gathered(counts, blocks)  # most_bits / 8 bytes at most
     return Model(bloom, row.asDict(), keys, exact, floor == 1, blocks), counts
 
 
@@ -344,7 +357,8 @@ def lm_scores(docs: DataFrame, most_bits: int = MOST_BITS, table_words: int = TA
     rows = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
     ensure_shipped(docs.sparkSession)
     model, counts = learn(rows.where("doc_id is not null and not held_out"), most_bits, table_words)
-    sent, blocks = docs.sparkSession.sparkContext.broadcast(model), model.blocks
+    sent, blocks, spread = docs.sparkSession.sparkContext.broadcast(model), model.blocks, model.bloom is None
+    model.bloom = None  # the driver needs it no more
 
     def scores(own, h, sizes, distinct, which):
         if own.bloom is None:
@@ -393,7 +407,7 @@ def lm_scores(docs: DataFrame, most_bits: int = MOST_BITS, table_words: int = TA
         rare = out.where("row is null").select("block", "rows", "rare").groupBy("block")
         more = rare.cogroup(counts.select("block", "uni", "uni_n").groupBy("block")).applyInArrow(looked_up, "row long, more double, known long").groupBy("row").agg(F.sum("more").alias("more"), F.sum("known").alias("known"))
         result = result.join(more, "row", "left").withColumn("base", F.col("base") + F.coalesce("more", F.lit(0.0))).withColumn("n_known", F.col("n_known") + F.coalesce("known", F.lit(0)))
-    if model.bloom is None:
+    if spread:
         result = result.drop("score").join(partitioned_scores(rows, model, counts), "row")
     return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 

@@ -692,6 +692,13 @@ def test_what_is_broadcast_changes_no_score(spark):
     assert all(abs(a[i].score - b[i].score) < 1e-9 and abs(a[i].base_score - b[i].base_score) < 1e-9 and a[i].n_known == b[i].n_known for i in a) and len(a) == len(b) == 300
 
 
+def test_gathered_filter_equals_its_parts(spark):
+    parts = {0: bytes(range(24)), 3: b"\xff" * 9, 6: bytes(8)}
+    got = bloom_lm.LogBloom.gathered(spark.createDataFrame([(k, bytearray(x)) for k, x in parts.items()], "block int, bits binary"), 8)
+    want = bloom_lm.LogBloom.joined(parts, 8)
+    assert all((getattr(got, x) == getattr(want, x)).all() for x in ("bits", "starts", "sizes")) and got.shift == want.shift
+
+
 def test_ngrams_sent_to_a_large_filter_are_deleted_share_by_share(spark):
     docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(60)], "doc_id long, text string").repartition(3)
     left = lambda: {p.name for tag in ("asked", "levels") for p in Path(common.shared_dir(spark)).glob(f"{tag}-*")}
