@@ -1,7 +1,8 @@
 """Near copies: documents whose sets of word shingles have a Jaccard similarity of SIMILAR or more.
 
-Fingerprints of 64 bits cannot find these: at a similarity of 0.8 they lie up
-to 11 bits apart, out of reach of small Hamming balls.  So candidates share one
+SimHash links the closest of them first.  Fingerprints of 64 bits cannot find
+all: at a similarity of 0.8 they lie up to 11 bits apart, out of reach of small
+Hamming balls.  So the other candidates share one
 of BANDS keys, each a hash of ROWS minimum hashes of the set; a pair of
 similarity s shares none with odds (1 - s^ROWS)^BANDS, 3e-6 at 0.8.  One bit of
 each minimum hash makes a signature; pairs whose signatures differ in more than
@@ -25,6 +26,7 @@ So every pair that shares a key and is similar ends in one component.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -74,14 +76,24 @@ def signatures(least: np.ndarray) -> np.ndarray:
     return np.pad(bits, ((0, 0), (0, 16 - bits.shape[1]))).view("<i8")
 
 
-SETS = pa.schema([("row", pa.list_(pa.int64())), ("sid", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("sign", pa.list_(pa.int64())), ("shingles", pa.binary())])
-SETS_DDL = "row array<long>, sid binary, n long, keys array<long>, sign array<long>, shingles binary"
+_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+
+
+def majority(h: np.ndarray) -> int:
+    """SimHash of 64-bit hashes: the bits that more than half of them have."""
+    octets = h.astype("<u8").view(np.uint8).reshape(-1, 8)
+    ones = np.concatenate([np.bincount(octets[:, k], minlength=256) @ _BYTE_BITS for k in range(8)])
+    return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+
+
+SETS = pa.schema([("row", pa.list_(pa.int64())), ("sid", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("sign", pa.list_(pa.int64())), ("shingles", pa.binary()), ("fp", pa.int64())])
+SETS_DDL = "row array<long>, sid binary, n long, keys array<long>, sign array<long>, shingles binary, fp long"
 
 
 def shingled(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(row, sid, n, keys, sign, shingles) of every row: equal sets have one sid, a 128-bit hash.
+    """(row, sid, n, keys, sign, shingles, fp) of every row, fp by SimHash: equal sets have one sid, a 128-bit hash.
 
-    ``row`` is passed through.  Keys, signature and shingles are null where the
+    ``row`` is passed through.  Keys, signature, shingles and fp are null where the
     task has sent them before; a text without words has n = 0 and none.
     """
 
@@ -99,12 +111,13 @@ def shingled(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                         seen.clear()
                     seen.add(sid)
                     first.append(i)
-            keys, sign, sent = ([None] * len(sets) for _ in range(3))
+            keys, sign, sent, fps = ([None] * len(sets) for _ in range(4))
             if first:
                 least = least_hashes([sets[i] for i in first])
                 for i, k, s in zip(first, band_keys(least).tolist(), signatures(least).tolist(), strict=True):
                     keys[i], sign[i], sent[i] = k, s, data[i]
-            columns = (sids, [len(x) for x in sets], keys, sign, sent)
+                    fps[i] = int(np.uint64(majority(sets[i])).astype(np.int64))
+            columns = (sids, [len(x) for x in sets], keys, sign, sent, fps)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(SETS)[1:], strict=True))], schema=SETS)
 
         return step
@@ -182,8 +195,8 @@ def _rare_pairs(left: DataFrame, rows: DataFrame) -> DataFrame:
     return met.select(F.col("x.sid").alias("u"), F.col("y.sid").alias("v")).distinct()
 
 
-def copy_roots(rows: DataFrame) -> DataFrame:
-    """(node, root) of every set of shingles that has a similar one, by verified links; ``rows`` as of ``shingled``."""
+def copy_roots(rows: DataFrame, linked: DataFrame | None = None) -> DataFrame:
+    """(node, root) of every set of shingles that has a similar one, by verified links; ``rows`` as of ``shingled``, ``linked``: (node, root) by links known before."""
     sets = written(rows.where("keys is not null").select("sid", "n", "keys", "sign").dropDuplicates(["sid"]), "sets")
     every = sets.select("sid", F.explode("keys").alias("key"))
     sizes = written(every.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
@@ -197,7 +210,10 @@ def copy_roots(rows: DataFrame) -> DataFrame:
     led = met.where("sid <> lead").select("sid", "lead").distinct().join(x, "sid").join(y, "lead").where(_alike("x", "y"))
     led = written(led.select("sid", "lead", _far(F.col("x.sign"), F.col("y.sign")).alias("far")), "led")
     near = led.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "lead"))), 1, NEAREST).alias("near"))  # BANDS leaders at most
-    stars = _joined_up(None, _verified(near.select(F.explode("near.lead").alias("u"), F.col("sid").alias("v")), rows))
+    pairs = near.select(F.explode("near.lead").alias("u"), F.col("sid").alias("v"))
+    if linked is not None:
+        pairs = _rooted(_rooted(pairs, linked, "u"), linked, "v").where("c_u <> c_v").select("u", "v")
+    stars = _joined_up(linked, _verified(pairs, rows))
 
     marked = written(_rooted(met.where("size > 2").select("key", "sid"), stars, "sid"), "marked")
     mixed = marked.groupBy("key").agg(F.min("c_sid").alias("a"), F.max("c_sid").alias("b")).where("a <> b").select("key")
@@ -207,11 +223,12 @@ def copy_roots(rows: DataFrame) -> DataFrame:
     return _joined_up(stars, _verified(_rare_pairs(left, rows), rows))
 
 
-def leaders(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+def leaders(docs: DataFrame, first: Callable[[DataFrame], DataFrame], width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): the sets of every row, and (node, root) of every set that has near copies.
 
     Texts without words, null ones too, have one empty set and so are copies of
-    each other.  ``docs`` has ``row``, an array of longs, and ``text``.
+    each other.  ``docs`` has ``row``, an array of longs, and ``text``; ``first``
+    gives the pairs (u, v) of sets that are verified before all others.
     """
     rows = written(shingled(docs, width), "shingles")
-    return rows, copy_roots(rows)
+    return rows, copy_roots(rows, _joined_up(None, _verified(first(rows), rows)))

@@ -27,12 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import near_copies
-from .common import batch_of, column, few, joined, lower_words, per_text, table, written
+from .common import batch_of, column, few, joined, lower_words, per_text, scratch, table, written
 from .components import components
 
 #: Words of a shingle, hash seed, differing bits that link, fingerprints under one key above which no pairs are fetched.
 WIDTH, SEED, BITS, HOT = 3, 42, 2, 64
-_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
 def fingerprint(words: list[bytes], width: int = WIDTH) -> int:
@@ -45,9 +44,7 @@ def fingerprint(words: list[bytes], width: int = WIDTH) -> int:
         grams = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
     n = max(1, len(words) - width + 1)
     h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, n)
-    octets = h.astype("<u8").view(np.uint8).reshape(-1, 8)
-    ones = np.concatenate([np.bincount(octets[:, k], minlength=256) @ _BYTE_BITS for k in range(8)])
-    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
+    return near_copies.majority(h)
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
@@ -109,11 +106,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> Data
     return joined(rows, classes, ["fp"], "copies", rows.count()).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def set_pairs(rows: DataFrame, hot: int = HOT) -> DataFrame:
+    """Pairs (u, v) of sets by SimHash: the least sets of linked fingerprints, and each set with the least of its own; ``rows`` as of ``near_copies.shingled``."""
+    sets = written(rows.where("fp is not null").select("sid", "fp").dropDuplicates(["sid"]), "prints")
+    least = written(sets.groupBy("fp").agg(F.min("sid").alias("least")), "distinct")
+    same = sets.join(least, "fp").where("sid <> least").select(F.col("least").alias("u"), F.col("sid").alias("v"))
+    of = lambda k: least.select(F.col("fp").alias(k), F.col("least").alias(f"sid_{k}"))
+    links = hamming_links(least.select("fp"), hot).join(of("u"), "u").join(of("v"), "v")
+    return same.unionByName(links.select(F.col("sid_u").alias("u"), F.col("sid_v").alias("v")))
+
+
 def one_of_each(docs: DataFrame, width: int = near_copies.WIDTH) -> DataFrame:
     """One row of each group of near copies, with all its columns.
 
-    Near copies are those of ``near_copies``, not fingerprints at BITS bits:
-    edited copies mostly lie farther apart.  The row of the smallest doc_id
+    Near copies are those of ``near_copies``: pairs that fingerprints at BITS bits
+    link are verified first, and edited copies, which mostly lie farther apart,
+    are searched among what is not linked then.  The row of the smallest doc_id
     stays (null ids last, then by a hash of all columns), whatever the order of
     the input.  Ids do not identify rows: rows of one doc_id with texts that are
     no copies of each other all stay.  Rows equal in all columns leave one.
@@ -124,14 +132,15 @@ def one_of_each(docs: DataFrame, width: int = near_copies.WIDTH) -> DataFrame:
     nulls = [c.isNull() for c in every]  # a hash skips nulls
     key = F.array(F.xxhash64(*every, *nulls), F.xxhash64(F.lit(1), *reversed(every), *nulls))  # 128 bits
     keyed = docs.select(*every, F.col("doc_id").cast("long").alias("__id"), key.alias("__row"))
-    rows, roots = near_copies.leaders(keyed.select(F.concat(F.array(F.col("__id").isNull().cast("long"), F.col("__id")), "__row").alias("row"), "text"), width)
-    # Rows are ordered as arrays: (id is null, id, hashes).  Both aggregates combine on the map side, so a hot set costs a row a task.
-    least = rows.groupBy("sid").agg(F.min("row").alias("row")).join(few(roots.select(F.col("node").alias("sid"), "root")), "sid", "left")
-    best = least.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("row").alias("row")).select("row", F.slice("row", 3, 2).alias("__row"))
-    # What goes is less than what stays, and so is the side that is sent: rows that go, and kept rows that occur again.
-    held = rows.select(F.slice("row", 3, 2).alias("__row")).groupBy("__row").count()
-    marks = held.join(best.select("__row", F.lit(True).alias("stays")), "__row", "left").where("stays is null or count > 1")
-    marks = written(marks.select("__row", F.col("stays").isNotNull().alias("stays")), "marks")
+    with scratch(docs.sparkSession):
+        rows, roots = near_copies.leaders(keyed.select(F.concat(F.array(F.col("__id").isNull().cast("long"), F.col("__id")), "__row").alias("row"), "text"), set_pairs, width)
+        # Rows are ordered as arrays: (id is null, id, hashes).  Both aggregates combine on the map side, so a hot set costs a row a task.
+        least = rows.groupBy("sid").agg(F.min("row").alias("row")).join(few(roots.select(F.col("node").alias("sid"), "root")), "sid", "left")
+        best = least.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("row").alias("row")).select("row", F.slice("row", 3, 2).alias("__row"))
+        # What goes is less than what stays, and so is the side that is sent: rows that go, and kept rows that occur again.
+        held = rows.select(F.slice("row", 3, 2).alias("__row")).groupBy("__row").count()
+        marks = held.join(best.select("__row", F.lit(True).alias("stays")), "__row", "left").where("stays is null or count > 1")
+        marks = written(marks.select("__row", F.col("stays").isNotNull().alias("stays")), "marks", keep=True)
     again = marks.where("stays").select("__row")
     kept = keyed.join(few(marks.where("not stays").select("__row")), "__row", "left_anti")
     if not again.isEmpty():

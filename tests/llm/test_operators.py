@@ -334,6 +334,19 @@ def test_dedup_finds_edited_copies(spark):
     assert kept == kept_by_brute_force(texts) and len(texts) - len(kept) > 12 * 3 + 70
 
 
+def test_dedup_links_by_simhash_first(spark, monkeypatch):
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base), " ".join([*base[:-1], "edit"]), " ".join(f"v{i}" for i in range(50))]
+    seen, first = [], simhash.set_pairs
+    monkeypatch.setattr(simhash, "set_pairs", lambda rows: (seen.append((first(rows).collect(), rows.collect())), first(rows))[1])
+    assert simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == 2
+    (pairs, rows), = seen
+    fps = {bytes(r.sid): r.fp for r in rows}
+    near = lambda a, b: ((fps[a] ^ fps[b]) & (2**64 - 1)).bit_count() <= 2
+    want = {frozenset((a, b)) for a in fps for b in fps if a < b and near(a, b)}
+    assert {frozenset((bytes(p.u), bytes(p.v))) for p in pairs} == want and len(want) == 1
+
+
 def test_rare_shingles_link_what_leaders_miss(spark):
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in range(60)]
